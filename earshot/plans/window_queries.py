@@ -116,7 +116,7 @@ def trend(spark, folder):
     return r6(t.where((F.col("c") == 20) & (F.col("recent") > 1.2 * F.col("older"))).select("row_id", "recent", "older"))
 
 
-@REGISTRY.add("WN14_alert_cooldown", f"""WITH RECURSIVE {S}, a AS (SELECT clip, epoch(ts)::BIGINT AS t0, CASE WHEN score > 0.8 THEN 'high' ELSE 'raised' END AS message, row_number() OVER ({_O}) AS i FROM s WHERE score > 0.6),
+@REGISTRY.add("WN14_alert_cooldown", f"""WITH RECURSIVE {S}, a AS (SELECT clip, floor(epoch(ts))::BIGINT AS t0, CASE WHEN score > 0.8 THEN 'high' ELSE 'raised' END AS message, row_number() OVER ({_O}) AS i FROM s WHERE score > 0.6),
 f AS (SELECT clip, t0, message, i, t0 AS last_at, message AS last, true AS sent FROM a WHERE i = 1
   UNION ALL SELECT a.clip, a.t0, a.message, a.i, CASE WHEN a.message <> f.last OR a.t0 - f.last_at >= 86400 THEN a.t0 ELSE f.last_at END, CASE WHEN a.message <> f.last OR a.t0 - f.last_at >= 86400 THEN a.message ELSE f.last END,
     a.message <> f.last OR a.t0 - f.last_at >= 86400 FROM f JOIN a ON a.clip = f.clip AND a.i = f.i + 1) SELECT clip, t0 AS "at", message FROM f WHERE sent""")
