@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with the value worked out once a row, however often f names it. Without it an expression inside a lambda is worked out again for each element."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda x, v: x + v.cast("double"))
 
@@ -19,12 +24,12 @@ def norm(a: Column) -> Column:
 
 def normalised(a: Column) -> Column:
     """Of length one; a zero array stays as it is."""
-    n = norm(a)
-    return F.transform(a, lambda v: v.cast("double") / F.when(n == 0, 1.0).otherwise(n))
+    return let(norm(a), lambda n: F.transform(a, lambda v: v.cast("double") / F.when(n == 0, 1.0).otherwise(n)))
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(normalised(a), normalised(b))
+    """0 if a side is zero."""
+    return let(norm(a) * norm(b), lambda n: F.when(n == 0, 0.0).otherwise(dot(a, b) / n))
 
 
 def pad_or_cut(a: Column, size: int | Column) -> Column:
@@ -77,3 +82,19 @@ def tiled(a: Column, size: int) -> Column:
 def padded_both(a: Column, left: int, right: int) -> Column:
     z = F.lit(0).cast("float")
     return F.concat(F.array_repeat(z, left), a, F.array_repeat(z, right))
+
+
+def convolved(a: Column, kernel: tuple[float, ...], peak: float) -> Column:
+    """The full convolution with a short kernel, as shifted copies added up, brought to a peak; silence stays silence."""
+    e = F.transform(a, lambda v: v.cast("double"))
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    last = len(kernel) - 1
+
+    def added(e: Column) -> Column:
+        out = None
+        for j, k in enumerate(kernel):
+            shifted = F.concat(zeros(j), F.transform(e, lambda v, k=k: v * k), zeros(last - j))
+            out = shifted if out is None else F.zip_with(out, shifted, lambda x, y: x + y)
+        return let(out, lambda y: let(F.array_max(F.transform(y, lambda v: F.abs(v))), lambda p: F.transform(y, lambda v: F.when(p == 0, 0.0).otherwise(v / p * peak))))
+
+    return let(e, added)
