@@ -88,12 +88,13 @@ def convolved(a: Column, kernel: tuple[float, ...], peak: float) -> Column:
     """The full convolution with a short kernel, as shifted copies added up, brought to a peak; silence stays silence."""
     e = F.transform(a, lambda v: v.cast("double"))
     zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    scaled = lambda e, k: F.transform(e, lambda v: v * k)
     last = len(kernel) - 1
 
     def added(e: Column) -> Column:
         out = None
         for j, k in enumerate(kernel):
-            shifted = F.concat(zeros(j), F.transform(e, lambda v, k=k: v * k), zeros(last - j))
+            shifted = F.concat(zeros(j), scaled(e, k), zeros(last - j))
             out = shifted if out is None else F.zip_with(out, shifted, lambda x, y: x + y)
         return let(out, lambda y: let(F.array_max(F.transform(y, lambda v: F.abs(v))), lambda p: F.transform(y, lambda v: F.when(p == 0, 0.0).otherwise(v / p * peak))))
 

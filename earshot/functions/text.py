@@ -38,6 +38,10 @@ def folding() -> tuple[dict[str, str], str]:
             plain = "".join(x for x in unicodedata.normalize("NFKD", ch) if unicodedata.category(x) != "Mn")
             if len(plain) == 1 and plain.isascii():
                 to[ch] = plain
+    for code in range(0x80, 0x3000):  # capitals of what is folded
+        ch, low = chr(code), chr(code).lower()
+        if ch not in to and low != ch and low in to:
+            to[ch] = to[low]
     return to, "".join(out)
 
 

@@ -179,8 +179,8 @@ class Plateau:
 def cooldown_counts(df: DataFrame, stream: Sequence[str], order: Sequence[str], *, score: str = "score", cutoffs: Sequence[float], ignore: int, hours_per_row: float | None = None) -> DataFrame:
     """(k, cutoff, accepts, n_rows[, per_hour]) over all streams together."""
     machine = Cooldown(cutoffs, ignore, df.columns.index(score))
-    each = fold(df, stream, order, machine.start, machine.step, "k int, cutoff double, accepts int, n_rows bigint", machine.end)
-    out = each.groupBy("k", "cutoff").agg(F.sum("accepts").alias("accepts"), F.sum("n_rows").alias("n_rows"))
+    each = fold(df, stream, order, machine.start, machine.step, "_k int, _cutoff double, _accepts int, _rows bigint", machine.end)
+    out = each.groupBy(F.col("_k").alias("k"), F.col("_cutoff").alias("cutoff")).agg(F.sum("_accepts").alias("accepts"), F.sum("_rows").alias("n_rows"))
     return out if hours_per_row is None else out.withColumn("per_hour", F.col("accepts") / (F.col("n_rows") * hours_per_row))
 
 
