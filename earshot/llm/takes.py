@@ -28,21 +28,18 @@ def parsed_takes(records: DataFrame) -> DataFrame:
     rows = rows.select("*", F.regexp_extract("p", r"([^/]*)$", 1).alias("f"), F.regexp_extract("p", r"/d(\d{8})/", 1).alias("d"), F.coalesce("known", folder_speaker(F.col("p"))).alias("speaker"), F.instr("p", "/sp").alias("sp"))
     stem = F.regexp_replace(F.regexp_replace("f", r"\.(?:wave?|flac|mp3|ogg|m4a|aac|opus)(?:\.bak|\.old|\.tmp)*\s*$", ""), r"[^a-z0-9]+", "_")
     rows = rows.select("row_id", "split", "speaker", "d", "sp", stem.alias("f"))
-    get = lambda pattern, i: F.regexp_extract("f", pattern, i)
-    is_dated, is_numbered = F.col("f").rlike(DATED), F.col("f").rlike(NUMBERED)
-    # A speaker folder above a day folder holds names without a code, so a phrase of seven letters is no code there.
-    is_coded = ~((F.col("d") != "") & (F.col("sp") > 0)) & F.col("f").rlike(CODED)
-    kind = F.when(is_dated, 1).when(is_numbered, 2).when(is_coded, 3).when(F.col("f").rlike(UNCODED), 4)
-    rows = rows.withColumn("kind", kind)
-    by = lambda *x: F.when(F.col("kind") == 1, x[0]).when(F.col("kind") == 2, x[1]).when(F.col("kind") == 3, x[2]).when(F.col("kind") == 4, x[3])
-    nothing = F.lit(None).cast("string")
-    rows = rows.select(
-        "row_id", "split", "speaker",
-        by(get(DATED, 2), get(NUMBERED, 1), get(CODED, 2), nothing).alias("code"),
-        F.nullif(F.coalesce(F.when(F.col("kind") == 1, get(DATED, 1)), F.col("d")), F.lit("")).alias("day"),
-        by(get(DATED, 3), get(NUMBERED, 3), get(CODED, 1), get(UNCODED, 1)).alias("phrase"),
-        by(get(DATED, 4), get(NUMBERED, 2), get(CODED, 3), get(UNCODED, 2)).cast("int").alias("take"),
-    )
+    # Each pattern is run once a row: what matches becomes code|day|phrase|take behind its mark. A speaker folder above a day folder holds names without a code, so there a phrase of seven
+    # letters is no code.
+    nested = (F.col("d") != "") & (F.col("sp") > 0)
+    as_ = lambda pattern, form: F.regexp_replace("f", pattern, form)
+    rows = rows.withColumn("m", F.when(F.instr("f", "_take") > 0, as_(DATED, "=$2|$1|$3|$4")).otherwise(F.col("f")))
+    rows = rows.withColumn("m", F.when(F.col("m").startswith("="), F.col("m")).otherwise(as_(NUMBERED, "=$1||$3|$2")))
+    rows = rows.withColumn("m", F.when(F.col("m").startswith("=") | nested, F.col("m")).otherwise(as_(CODED, "=$2||$1|$3")))
+    rows = rows.withColumn("m", F.when(F.col("m").startswith("="), F.col("m")).otherwise(as_(UNCODED, "=||$1|$2")))
+    part = F.when(F.col("m").startswith("="), F.split(F.substr("m", F.lit(2)), r"\|"))
+    rows = rows.withColumn("x", part)
+    some = lambda c: F.nullif(c, F.lit(""))
+    rows = rows.select("row_id", "split", "speaker", some(F.col("x")[0]).alias("code"), some(F.coalesce(some(F.col("x")[1]), F.col("d"))).alias("day"), F.col("x")[2].alias("phrase"), F.col("x")[3].try_cast("int").alias("take"))
     uncoded = F.concat_ws("|", F.lit("u"), "speaker", "day", "phrase")
     whole = F.col("take").isNotNull() & F.col("speaker").isNotNull() & F.col("day").isNotNull()
     return rows.withColumn("key", F.when(F.col("code").isNotNull(), F.concat(F.lit("c|"), "code")).when(whole, uncoded))
