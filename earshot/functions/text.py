@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -16,6 +17,7 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ſ": "s", "ɑ": "a", "ɡ": "g", "ß": "s",
 }
+_HIGH = re.compile("[^\x00-\x7f]+")
 SPACES = "                 　"
 
 
@@ -67,9 +69,14 @@ def plain_table() -> dict[int, str | None]:
     return {ord(k): v for k, v in to.items()} | {ord(x): None for x in out}
 
 
+def folded_py(s: str, table: dict) -> str:
+    """`s` with what isn't ASCII folded by `plain_table()`. Only the runs outside ASCII are looked up, which in most texts are few."""
+    return s if s.isascii() else _HIGH.sub(lambda m: m.group().translate(table), s)
+
+
 def plain_py(s: str) -> str:
     """`plain` for one Python string."""
-    return (s if s.isascii() else s.translate(plain_table())).lower()
+    return folded_py(s, plain_table()).lower()
 
 
 def name_key(c: Column) -> Column:
