@@ -25,7 +25,7 @@ def parsed_takes(records: DataFrame) -> DataFrame:
     paths and splits are kept."""
     path = clip_path(F.col("path"))
     rows = records.select("row_id", split_name(F.col("split")).alias("split"), speaker(F.col("speaker_id")).alias("known"), path.alias("p"))
-    rows = rows.select("*", F.regexp_extract("p", r"([^/]*)$", 1).alias("f"), F.regexp_extract("p", r"/d(\d{8})/", 1).alias("d"), F.coalesce("known", folder_speaker(F.col("p"))).alias("speaker"), F.instr("p", "/sp").alias("sp"))
+    rows = rows.select("*", F.substring_index("p", "/", -1).alias("f"), F.regexp_extract("p", r"/d(\d{8})/", 1).alias("d"), F.coalesce("known", folder_speaker(F.col("p"))).alias("speaker"), F.instr("p", "/sp").alias("sp"))
     stem = F.regexp_replace(F.regexp_replace("f", r"\.(?:wave?|flac|mp3|ogg|m4a|aac|opus)(?:\.bak|\.old|\.tmp)*\s*$", ""), r"[^a-z0-9]+", "_")
     rows = rows.select("row_id", "split", "speaker", "d", "sp", stem.alias("f"))
     # Each pattern is run once a row: what matches becomes code|day|phrase|take behind its mark. A speaker folder above a day folder holds names without a code, so there a phrase of seven
