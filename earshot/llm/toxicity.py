@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from earshot.functions.text import plain_table
+from earshot.functions.text import folded_py, plain_table
 from earshot.llm import toxicity_words as words
 
 _TAG = re.compile(r"<[^<>]{1,300}>")
@@ -31,9 +31,7 @@ def tidy(text: str, table: dict) -> str:
         text = _TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
-    if not text.isascii():
-        text = text.translate(table)
-    return _APART.sub(_joined, text.lower())
+    return _APART.sub(_joined, folded_py(text, table).lower())
 
 
 def _joined(m: re.Match) -> str:
@@ -227,9 +225,13 @@ def chain_marginals(u: np.ndarray, inside: np.ndarray, stay: tuple[float, float]
     order = np.argsort(-n, kind="stable")
     first, n = index[first[order]], n[order]
     a, b = np.exp(stay[0]), np.exp(stay[1])
-    # Long chains in their own blocks, so that padding stays small.
-    for lo in range(0, len(n), 20_000):
-        start, length = first[lo : lo + 20_000], n[lo : lo + 20_000]
+    # Blocks of chains of like length, so that padding stays small.
+    lo = 0
+    while lo < len(n):
+        hi = min(lo + 20_000, int(np.searchsorted(-n, -(n[lo] * 3 // 4), side="left")))
+        hi = max(hi, lo + 1)
+        start, length = first[lo:hi], n[lo:hi]
+        lo = hi
         steps = int(length[0])
         grid = start[:, None] + np.arange(steps)[None, :]
         real = np.arange(steps)[None, :] < length[:, None]
