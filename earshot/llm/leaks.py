@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from earshot.functions.text import plain_table
+from earshot.functions.text import folded_py, plain_table
 from earshot.llm.cutoffs import bounded
 
 _DROP = re.compile("[^a-z0-9]+")
@@ -24,9 +24,7 @@ def letters(text: str, table: dict) -> str:
         text = _TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
-    if not text.isascii():
-        text = text.translate(table)
-    return _DROP.sub("", text.lower())
+    return _DROP.sub("", folded_py(text, table).lower())
 
 
 def mapped(text: str, table: dict) -> tuple[str, list[int], list[int]]:
