@@ -6,16 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from earshot.operators.quantiles import exact_percentiles
+
 
 def percentile_gate(df: DataFrame, group: str, score: str, discarded: str, share: float, least: float | None = None) -> DataFrame:
     """`df` with `gate`: the first reason to discard a row, or null.
 
-    The cutoff of a group is the exact linear percentile of its eligible rows (not yet discarded, with a score), from its distinct values and their counts, so that a hot group is summed map-side;
-    rows at or below it are discarded, and then those below `least`. A group without eligible rows has no cutoff."""
+    The cutoff of a group is the exact linear percentile of its eligible rows (not yet discarded, with a score); no group's values are held in one place. Rows at or below it are discarded, and then those below `least`. A group without eligible rows has no cutoff."""
     number = F.col(score).isNotNull() & ~F.isnan(score)
     gone = F.coalesce(F.col(discarded), F.lit(False))
-    counts = df.where(number & ~gone).groupBy(group, score).agg(F.count(F.lit(1)).alias("_n"))
-    cutoffs = counts.groupBy(F.col(group).alias("_g")).agg(F.percentile(score, F.lit(share), F.col("_n")).alias("cutoff"))
+    cutoffs = exact_percentiles(df.where(~gone), [group], score, {"cutoff": share}).withColumnRenamed(group, "_g")
     joined = df.join(cutoffs, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
     low = F.lit(False) if least is None else F.col(score) < least
     return joined.withColumn("gate", F.when(gone, "already discarded").when(number & (F.col(score) <= F.col("cutoff")), "low percentile").when(number & low, "below minimum"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from earshot.functions.speakers import split_name
 from earshot.operators import frontier as fr
+from earshot.operators.quantiles import exact_percentiles
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import S, r6, stream
 from earshot.sources.tables import table
@@ -44,13 +45,16 @@ def class_ratio(spark, folder):
     return g.withColumn("status", F.when((F.col("split") == "train") & (F.col("pos") == 0), "error").when(F.col("neg") < 5 * F.col("pos"), "warn").otherwise("ok"))
 
 
-@REGISTRY.add("AG34_quality_summary", """SELECT dir_label, count(*) AS n, min(wqi) AS min_wqi, median(wqi) AS med_wqi, round(avg(wqi), 6) AS mean_wqi, max(wqi) AS max_wqi, round(avg(snr_db), 6) AS mean_snr, count(*) FILTER (discard_reason LIKE '%clip%') AS n_clip, count(*) FILTER (discard_reason LIKE '%vad%') AS n_vad, count(*) FILTER (discard) AS n_discard
+@REGISTRY.add("AG34_quality_summary", """SELECT dir_label, count(*) AS n, min(wqi) AS min_wqi, round(median(wqi), 6) AS med_wqi, round(avg(wqi), 6) AS mean_wqi, max(wqi) AS max_wqi, round(avg(snr_db), 6) AS mean_snr, count(*) FILTER (discard_reason LIKE '%clip%') AS n_clip, count(*) FILTER (discard_reason LIKE '%vad%') AS n_vad, count(*) FILTER (discard) AS n_discard
 FROM file_scores WHERE NOT coalesce(isnan(wqi), false) GROUP BY GROUPING SETS ((dir_label), ())""")
 def quality_summary(spark, folder):
     q = table(spark, folder, "file_scores").where(~F.coalesce(F.isnan("wqi"), F.lit(False)))
     has = lambda x: F.count_if(F.col("discard_reason").contains(x))
-    g = q.rollup("dir_label").agg(F.count(F.lit(1)).alias("n"), F.min("wqi").alias("min_wqi"), F.median("wqi").alias("med_wqi"), F.round(F.avg("wqi"), 6).alias("mean_wqi"), F.max("wqi").alias("max_wqi"), F.round(F.avg("snr_db"), 6).alias("mean_snr"), has("clip").alias("n_clip"), has("vad").alias("n_vad"), F.count_if("discard").alias("n_discard"))
-    return g
+    every = F.array(F.struct(F.lit(True).alias("one"), F.col("dir_label").alias("dir_label")), F.struct(F.lit(False).alias("one"), F.lit(None).cast("string").alias("dir_label")))
+    both = q.select("wqi", F.explode(every).alias("g")).select("wqi", "g.*")
+    middle = exact_percentiles(both, ["one", "dir_label"], "wqi", {"med_wqi": 0.5}).select(F.col("one").alias("_one"), F.col("dir_label").alias("_d"), F.round("med_wqi", 6).alias("med_wqi"))
+    g = q.rollup("dir_label").agg(F.grouping("dir_label").alias("_all"), F.count(F.lit(1)).alias("n"), F.min("wqi").alias("min_wqi"), F.round(F.avg("wqi"), 6).alias("mean_wqi"), F.max("wqi").alias("max_wqi"), F.round(F.avg("snr_db"), 6).alias("mean_snr"), has("clip").alias("n_clip"), has("vad").alias("n_vad"), F.count_if("discard").alias("n_discard"))
+    return g.join(middle, F.col("dir_label").eqNullSafe(F.col("_d")) & ((F.col("_all") == 0) == F.col("_one")), "left").drop("_all", "_one", "_d")
 
 
 @REGISTRY.add("AG35_cluster_summary", "WITH g AS (SELECT label, count(*) AS size, list_slice(list(vec_id ORDER BY vec_id), 1, 5) AS first_five FROM embeddings GROUP BY label) SELECT label, size, round(100.0 * size / sum(size) OVER (), 6) AS pct, array_to_string(first_five, ',') AS first_five, min(size) OVER () AS smallest, max(size) OVER () AS largest, round(avg(size) OVER (), 6) AS mean_size FROM g")
@@ -102,7 +106,8 @@ def op_frequency(spark, folder):
 def agreement(spark, folder):
     q = stream(spark, folder).select(F.col("score").alias("a"), (F.floor(F.col("score") * 255 + 0.5) / F.lit(255.0)).alias("b"))
     gap = F.abs(F.col("a") - F.col("b"))
-    return q.agg(F.round(F.avg(gap), 9).alias("mean_gap"), F.round(F.max(gap), 9).alias("max_gap"), F.round(F.median(gap), 9).alias("median_gap"), F.round(F.avg(F.when((F.col("a") > 0.5) == (F.col("b") > 0.5), 1.0).otherwise(0.0)), 6).alias("agreement"), F.round(F.corr("a", "b"), 6).alias("pearson"))
+    middle = exact_percentiles(q.select(gap.alias("gap")), [], "gap", {"m": 0.5}).select(F.round("m", 9).alias("median_gap"))
+    return middle.join(F.broadcast(q.agg(F.round(F.avg(gap), 9).alias("mean_gap"), F.round(F.max(gap), 9).alias("max_gap"), F.round(F.avg(F.when((F.col("a") > 0.5) == (F.col("b") > 0.5), 1.0).otherwise(0.0)), 6).alias("agreement"), F.round(F.corr("a", "b"), 6).alias("pearson"))))
 
 
 C = "c AS (SELECT p_partkey AS id, p_size::DOUBLE AS fah, (p_partkey * 7919 % 1000) / 1000::DOUBLE AS recall, (p_partkey * 104729 % 997) / 997::DOUBLE AS auc_pr FROM part)"

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from earshot.operators import scores as sc
+from earshot.operators.quantiles import exact_percentiles
 from earshot.plans.registry import Registry
 from earshot.sources.tables import table
 
@@ -244,17 +245,18 @@ def bootstrap(spark, folder):
 @REGISTRY.add("AG30_score_distribution", f"WITH {S} SELECT CASE WHEN raw = 1 THEN 'positive' WHEN raw = 2 THEN 'hard_negative' ELSE 'negative' END AS class, count(*) AS n, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std, median(score) AS median, min(score) AS min, max(score) AS max FROM s GROUP BY 1")
 def distribution(spark, folder):
     name = F.when(F.col("raw") == 1, "positive").when(F.col("raw") == 2, "hard_negative").otherwise("negative")
-    return stream(spark, folder).groupBy(name.alias("class")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.stddev_pop("score"), 6).alias("std"), F.median("score").alias("median"), F.min("score").alias("min"), F.max("score").alias("max"))
+    s = stream(spark, folder).withColumn("class", name)
+    middle = exact_percentiles(s, ["class"], "score", {"median": 0.5})
+    return s.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean"), F.round(F.stddev_pop("score"), 6).alias("std"), F.min("score").alias("min"), F.max("score").alias("max")).join(middle, "class")
 
 
 @REGISTRY.add("AG31_percentile_summary", f"WITH {S} SELECT min(score) AS min, round(quantile_cont(score, 0.05), 6) AS p05, round(quantile_cont(score, 0.5), 6) AS p50, round(quantile_cont(score, 0.95), 6) AS p95, round(quantile_cont(score, 0.99), 6) AS p99, max(score) AS max, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std FROM s")
 def percentiles(spark, folder):
-    # Exact percentiles over the histogram of distinct values, so that no task holds all rows.
-    h = stream(spark, folder).groupBy("score").agg(F.count(F.lit(1)).alias("n"))
-    p = lambda q: F.round(F.percentile("score", F.lit(q), F.col("n")), 6)
-    mean = F.sum(F.col("score") * F.col("n")) / F.sum("n")
-    var = F.sum(F.col("score") * F.col("score") * F.col("n")) / F.sum("n") - mean * mean
-    return h.agg(F.min("score").alias("min"), p(0.05).alias("p05"), p(0.5).alias("p50"), p(0.95).alias("p95"), p(0.99).alias("p99"), F.max("score").alias("max"), F.round(mean, 6).alias("mean"), F.round(F.sqrt(var), 6).alias("std"))
+    q = stream(spark, folder)
+    p = exact_percentiles(q, [], "score", {"p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99})
+    m = q.agg(F.min("score").alias("min"), F.max("score").alias("max"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+    r = lambda c: F.round(c, 6).alias(c)
+    return m.join(F.broadcast(p)).select("min", r("p05"), r("p50"), r("p95"), r("p99"), "max", r("mean"), r("std"))  # a row each
 
 
 @REGISTRY.add("AG32_per_category_rates", f"WITH {S} SELECT raw, count(*) AS n, CASE WHEN raw = 1 THEN count(*) FILTER (score >= 0.5) / count(*)::DOUBLE END AS tpr, CASE WHEN raw <> 1 THEN count(*) FILTER (score < 0.5) / count(*)::DOUBLE END AS tnr, CASE WHEN raw <> 1 THEN count(*) FILTER (score >= 0.5) / count(*)::DOUBLE END AS fpr FROM s GROUP BY raw")

@@ -374,9 +374,9 @@ def sc10(spark, folder):
 
 @REGISTRY.add("SC13_json_dimension", "SELECT path, min(speaker_id) AS speaker_id FROM speaker_map GROUP BY path")
 def sc13(spark, folder):
-    """The map as JSON documents by speaker, read again."""
-    docs = table(spark, folder, "speaker_map").groupBy("speaker_id").agg(F.to_json(F.struct(F.array_distinct(F.collect_list("path")).alias("paths"))).alias("doc"))
-    return docs.select("speaker_id", F.explode(F.from_json("doc", "paths array<string>")["paths"]).alias("path")).groupBy("path").agg(F.min("speaker_id").alias("speaker_id"))
+    """The map as JSON lines of mappings, read again."""
+    docs = table(spark, folder, "speaker_map").select(F.to_json(F.struct(F.create_map("path", "speaker_id").alias("mappings"))).alias("doc"))
+    return docs.select(F.explode(F.from_json("doc", "mappings map<string,string>")["mappings"]).alias("path", "speaker_id")).groupBy("path").agg(F.min("speaker_id").alias("speaker_id"))
 
 
 @REGISTRY.add("SC14_log_round_trip", "WITH l AS (SELECT run_id, epoch, arg_max(false_predictions, struct_pack(a := logged_at, b := log_id)) AS p FROM prediction_logs WHERE epoch IS NOT NULL AND logged_at IS NOT NULL GROUP BY 1, 2) SELECT run_id, epoch, len(p)::INT AS n FROM l WHERE len(p) > 0")

@@ -56,8 +56,8 @@ def exploded_log(texts: DataFrame, column: str) -> DataFrame:
 
 
 def log_documents(predictions: DataFrame) -> DataFrame:
-    """(run_id, document): rows of (run_id, epoch, logged_at, fp_threshold, total_val_samples, false_positive_count, false_predictions) as one JSON document a run; of an epoch's repeated rows the last by time counts."""
+    """(run_id, document): a JSON document for each run and each hundred of its epochs, from rows of (run_id, epoch, logged_at, fp_threshold, total_val_samples, false_positive_count, false_predictions); of an epoch's repeated rows the last by time counts."""
     last = predictions.where("epoch IS NOT NULL").groupBy("run_id", "epoch").agg(F.max_by(F.struct("logged_at", "fp_threshold", "total_val_samples", "false_positive_count", "false_predictions"), F.struct("logged_at", "log_id")).alias("e"))
     value = F.struct(F.date_format("e.logged_at", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.col("epoch").try_cast("int").alias("epoch"), F.col("e.fp_threshold").alias("fp_threshold"), F.col("e.total_val_samples").alias("total_val_samples"), F.col("e.false_positive_count").alias("false_positive_count"), F.transform("e.false_predictions", lambda p: F.struct(p["idx"].alias("index"), p["score"].alias("score"), p["file_path"].alias("file_path"))).alias("false_predictions"))
-    grouped = last.groupBy("run_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("epoch"), value.alias("v"))))).alias("epochs"))
+    grouped = last.groupBy("run_id", F.floor(F.coalesce(F.col("epoch").try_cast("int"), F.pmod(F.xxhash64("epoch"), F.lit(1_000_000))) / 100).alias("part")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("epoch"), value.alias("v"))))).alias("epochs"))
     return grouped.select("run_id", F.to_json(F.struct(F.struct("run_id").alias("metadata"), "epochs")).alias("document"))
