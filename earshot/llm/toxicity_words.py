@@ -4,7 +4,7 @@
 STRONG = """
 arsehole* asshole* asshat* bastard* bellend* bitch* blowjob* bollocks bullshit* clusterfuck* cock cocks cocksuck* cretin* cum cumshot* cunt* dickhead* dipshit* douchebag* dumbass*
 dumbfuck* fag faggot* fuck* goddamn* halfwit* handjob* horseshit imbecile* jackass* jerkoff* masturbat* moron* motherfuck* nigg* numbskull* nutjob* orgasm* paki penis pervert* piss*
-prick pricks pussy pussies retard* scumbag* shit* shithead* slut* spastic* spic tits titties tosser* tranny twat* wank* whore* idiot idiots idiotic jizz kike kikes raghead* gook chink
+prick pricks pussy pussies retard* scumbag* shit* shithead* slut* spastic* spic tits titties tosser* tranny twat* wank* whore* idiot idiots idiotic jizz kike kikes loser losers raghead* gook chink
 dyke coon wetback* porn porno pornhub boobs dick dicks sodomi* rapist* rape raped raping nudes horny
 arsch arsche arschloch* arschgeige* abschaum bastarde dreckig* drecksau* dummkopf* fick* ficken* fotze* hure* hurensohn* kanake* kotzbrocken missgeburt* mistkerl* mistst* nutte* neger*
 saukerl* scheisse* scheiss* scheisskerl* schlampe* schwuchtel* schwachkopf* spasti* titten trottel* vollidiot* wichser* wixer* idiotin verpiss* fresse vollpfosten* schwanz
@@ -17,7 +17,7 @@ pute putes salaud* salope* suce sucer gueule debile* cretin* imbecile* bougnoule
 # Words that abuse only where a person or a group of people is meant.
 WEAK = """
 abuse apes beast beat bleed brainless burn choke clown cockroach* corpse crap crappy creep cripple cripples damn damned dead degenerate* dirty disgusting disgrace
-dirt dumb exterminate* fat filth filthy freak freaks garbage gassed goat hang hate inferior insect* junk kill kys lazy liar loser losers maggot* mental monkey* moans moan
+dirt dumb exterminate* fat filth filthy freak freaks garbage gassed goat hang hate inferior insect* junk kill kys lazy liar maggot* mental monkey* moans moan
 murder mouth nasty naked nude parasite* pathetic pest pig pigs plague poison pollute punch rats rot rotten savage* scum shame shoot shut sick skin slit smash smell stab stink*
 strangle stupid suck sucks subhuman* suicide thrown thug thugs trash trashy ugly undress useless vermin waste weak worthless vile hurt throat drown deport* lesser jerk
 dreck drecks dumm dumme dummer erbarmlich hasslich krepier* maul nackt schwein* stirb sterben ungeziefer verrecke* verrecken verschwinde vergas* wertlos* widerlich*
