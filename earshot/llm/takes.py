@@ -14,7 +14,8 @@ from earshot.session import cut
 _CODE = "([a-z0-9]{7,9})"
 DATED = rf"^(\d{{8}})_{_CODE}_(.+?)_take_?(\d+)(?:_.*)?$"  # day_code_phrase_take3
 NUMBERED = rf"^{_CODE}_(\d+)_(.+)$"  # code_03_phrase
-CODED = rf"^(.+)_{_CODE}_t(\d+)(?:_.*)?$"  # phrase_code_t003
+# Before the take a phrase's last word stands too, so a code of another length than eight is known by a digit.
+CODED = r"^(.+)_([a-z0-9]{8}|(?=[a-z]*\d)[a-z0-9]{7,9})_t(\d+)(?:_.*)?$"  # phrase_code_t003
 UNCODED = r"^(.+?)_t(?:ake)?_?(\d+)(?:_.*)?$"  # phrase_t003
 
 

@@ -84,6 +84,12 @@ def test_against_all_pairs(spark):
     assert {(x.row_id_train, x.row_id_eval) for x in overlapping_takes(frame(spark, data)).collect()} == want
 
 
+def test_a_phrase_is_no_code(spark):
+    data = [("/d/positive/room/flat/hey_tessera_t001.wav", "train", "spk_000000001"), ("/d/positive/hall/flat/hey_tessera_t001.wav", "val", "spk_000000001"), ("/d/positive/room/flat/hey_tesser7_t001.wav", "val", None)]
+    assert [r.code for r in sorted(parsed_takes(frame(spark, data)).collect())] == [None, None, "tesser7"]
+    assert overlapping_takes(frame(spark, data)).count() == 0
+
+
 def test_parsed(spark):
     t = {r.row_id: r for r in parsed_takes(frame(spark, CASES)).collect()}
     assert (t[1].code, t[1].take, t[1].day) == ("abcd2345", 3, "20230101") and t[8].code is None and t[8].take == 1 and t[12].key is None
