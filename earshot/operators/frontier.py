@@ -56,11 +56,12 @@ def _local(batches, low: str, high):
 
 
 def hypervolume(points: DataFrame, x: str, y: str, ref_x: float, ref_y: float) -> DataFrame:
-    """One row: the area between the points of low x and high y and the reference; 0 without points.
-
-    If no point lies strictly inside, points on an edge count with zero for the side they miss."""
-    gain = points.select((F.lit(ref_x) - F.col(x)).alias("a"), (F.col(y) - F.lit(ref_y)).alias("b"))
-    inside = gain.where((F.col("a") > 0) & (F.col("b") > 0)).groupBy("a").agg(F.max("b").alias("b"))
+    """One row: the area between the points of low x and high y and the reference; 0 without points
+    strictly inside."""
+    # Only the front counts, so the window is over its points, few against all.
+    kept = points.select(x, y).where((F.col(x) < ref_x) & (F.col(y) > ref_y))
+    front = skyline(kept, x, y)
+    inside = front.select((F.lit(ref_x) - F.col(x)).alias("a"), (F.col(y) - F.lit(ref_y)).alias("b")).groupBy("a").agg(F.max("b").alias("b"))
     w = Window.orderBy(F.desc("a"))
     swept = inside.select("a", F.max("b").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("h"), F.coalesce(F.lead("a").over(w), F.lit(0.0)).alias("next"))
     return swept.agg(F.coalesce(F.sum((F.col("a") - F.col("next")) * F.col("h")), F.lit(0.0)).alias("hypervolume"))

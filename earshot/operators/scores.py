@@ -114,6 +114,24 @@ def fah_at_target_recall(swept: DataFrame, hours: float, target: float) -> DataF
     return best.select("threshold", F.when(ok, F.col("recall")).otherwise(0.0).alias("recall"), F.when(ok, F.col("fah")).otherwise(math.inf).alias("fah"))
 
 
+def faph_points(swept: DataFrame, hours: float, most: float, compat: bool = False) -> DataFrame:
+    """(faph, frr): false rejections over false accepts per hour up to `most`, in which a point at `most` is put between its neighbours, of repeated rates the first threshold's point counts,
+    and (0, 1) is added where no threshold reaches 0.
+
+    `compat` repeats what the older form of this curve does at `most`: both neighbours have the rejections of the one beyond, and 2.0 stands for `most` in the interpolation."""
+    s = rates(swept, hours).select("k", F.col("fah").alias("faph"), (1 - F.col("recall")).alias("frr"))
+    w = Window.orderBy("k")  # a row per threshold
+    near = s.select("k", "faph", "frr", F.lag("faph").over(w).alias("x0"), F.lag("frr").over(w).alias("y0")).where(F.col("faph") <= most)
+    first = near.orderBy("k").limit(1)
+    y1, at = (F.col("y0"), 2.0) if compat else (F.col("frr"), most)
+    between = (F.col("y0") * (F.col("faph") - at) + y1 * (at - F.col("x0"))) / (F.col("faph") - F.col("x0"))
+    edge = first.select(F.lit(-1).alias("k"), F.lit(float(most)).alias("faph"), F.when(F.col("x0").isNull(), F.col("frr")).otherwise(between).alias("frr"))
+    inner = near.groupBy("faph").agg(F.min_by("frr", "k").alias("frr"), F.min("k").alias("k")).where(F.col("faph") != most).select("k", "faph", "frr")
+    points = edge.unionByName(inner)
+    end = points.agg(F.min("faph").alias("m")).where("m > 0").select(F.lit(0.0).alias("faph"), F.lit(1.0).alias("frr"))
+    return points.select("faph", "frr").unionByName(end)
+
+
 def trapezoid(df: DataFrame, x: str, y: str, *order: Column) -> Column:
     """The area under y over x as a window expression to sum up."""
     w = Window.orderBy(*order)

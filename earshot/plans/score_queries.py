@@ -168,10 +168,21 @@ def viable_recall_capped(spark, folder):
     return r6(viable_capped(sc.sweep(stream(spark, folder), sc.linspace(101)), HOURS, 150.0))
 
 
-@REGISTRY.add("AG20_faph_frr_points", f"""WITH {S}, {grid_sql(101)}, f AS (SELECT fah AS faph, min(1 - recall) AS frr FROM ra WHERE fah <= 150.0 GROUP BY fah) SELECT round(faph, 6) AS faph, round(frr, 6) AS frr FROM f UNION SELECT 0.0, 1.0""")
+def _faph_sql(most: float, compat: bool) -> str:
+    y1, at = ("y0", 2.0) if compat else ("frr", most)
+    return f"""WITH {S}, {grid_sql(101)}, p AS (SELECT k, fah AS faph, 1 - recall AS frr, lag(fah) OVER (ORDER BY k) AS x0, lag(1 - recall) OVER (ORDER BY k) AS y0 FROM ra), v AS (SELECT * FROM p WHERE faph <= {most}),
+e AS (SELECT {most}::DOUBLE AS faph, CASE WHEN x0 IS NULL THEN frr ELSE (y0 * (faph - {at}) + {y1} * ({at} - x0)) / (faph - x0) END AS frr FROM v ORDER BY k LIMIT 1), i AS (SELECT faph, arg_min(frr, k) AS frr FROM v WHERE faph <> {most} GROUP BY faph)
+SELECT faph, round(frr, 6) AS frr FROM (SELECT * FROM e UNION ALL SELECT * FROM i UNION ALL SELECT 0.0, 1.0 FROM v HAVING min(faph) > 0)"""
+
+
+@REGISTRY.add("AG20_faph_frr_points", _faph_sql(150.0, False))
 def faph_frr(spark, folder):
-    p = sc.rates(sc.sweep(stream(spark, folder), sc.linspace(101)), HOURS).where(F.col("fah") <= 150.0).groupBy(F.col("fah").alias("faph")).agg(F.min(1 - F.col("recall")).alias("frr"))
-    return r6(p).unionByName(spark.createDataFrame([(0.0, 1.0)], "faph double, frr double")).distinct()
+    return sc.faph_points(sc.sweep(stream(spark, folder), sc.linspace(101)), HOURS, 150.0).withColumn("frr", F.round("frr", 6))
+
+
+@REGISTRY.add("AG20_faph_frr_points_compat", _faph_sql(150.0, True))
+def faph_frr_compat(spark, folder):
+    return sc.faph_points(sc.sweep(stream(spark, folder), sc.linspace(101)), HOURS, 150.0, compat=True).withColumn("frr", F.round("frr", 6))
 
 
 _BEST = "CASE WHEN tp + fp = 0 OR tp = 0 THEN 0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1, (recall + 1 - fpr) / 2 AS balanced, (10.0 * fp + 5.0 * fn) / (tp + fp + tn + fn) AS cost"
