@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
+from earshot.functions.text import one_slip
 from earshot.session import cut
 
 # The parts of a clip's file name in its layouts. A session code has eight letters or digits; one may be mistyped, left out or put in.
@@ -46,14 +47,18 @@ def parsed_takes(records: DataFrame) -> DataFrame:
     return rows.withColumn("key", F.when(F.col("code").isNotNull(), F.concat(F.lit("c|"), "code")).when(whole, uncoded))
 
 
+def slim(takes: DataFrame) -> DataFrame:
+    """`parsed_takes` with numbers for speakers and days, which aggregate by hash and shuffle as eight bytes."""
+    number = F.coalesce(F.substr("speaker", F.lit(5)).try_cast("bigint"), F.xxhash64("speaker"))
+    return takes.select("row_id", "split", F.when(F.col("speaker").isNotNull(), number).alias("speaker"), F.col("day").cast("int").alias("day"), "phrase", "take", "key")
+
+
 def sessions_of(takes: DataFrame) -> DataFrame:
-    """One row per session: what its rows have in common, and whether train and evaluation rows are among them."""
-    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c))
+    """One row per session: the speaker and day that its rows agree on, their number, and whether train and evaluation rows are among them."""
+    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).alias(c)
     held = lambda *names: F.max(F.col("split").isin(*names))
-    return takes.where(F.col("key").isNotNull() & F.col("split").isNotNull()).groupBy("key").agg(
-        F.first("code").alias("code"), one("speaker").alias("speaker"), one("day").alias("day"), F.min("phrase").alias("phrase"), F.max("phrase").alias("phrase_2"),
-        F.count(F.lit(1)).alias("n"), held("validation", "test").alias("has_eval"), held("train").alias("has_train"),
-    )
+    known = takes.where(F.col("key").isNotNull() & F.col("split").isNotNull())
+    return known.groupBy("key").agg(one("speaker"), one("day"), F.count(F.lit(1)).alias("n"), held("validation", "test").alias("has_eval"), held("train").alias("has_train"))
 
 
 def passages(text: str) -> list[str]:
@@ -119,68 +124,61 @@ class Shard:
         return [i for i, spans in hits.items() if covered(spans) >= least * (min(last, len(self.texts[i])) - 1) and slip(text, self.texts[i])]
 
 
-def _same_words(a: tuple[str, str], b: tuple[str, str]) -> bool:
-    """A phrase is known by one of two spellings, up to a slip or what a tool has put behind it."""
-    return any(x.startswith(y) or y.startswith(x) or slip(x, y) for x in a if x for y in b if y)
-
-
 def _route_kind(a: str, b: str) -> str:
     """The first of the shards in which two codes meet."""
     return "<" if a[:4] == b[:4] else ">" if a[-4:] == b[-4:] else "="
 
 
-COLUMNS = ["route", "key", "text", "phrase", "phrase_2", "speaker", "day", "n_phrase", "is_text"]
+COLUMNS = ["route", "key", "speaker", "day", "n_phrase", "is_text"]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A shard's rows: the evaluation passages first, then the train texts."""
-    passage: dict[tuple[str, str], tuple] = {}
+    """A shard's rows: the evaluation passages first, then the train texts. A session's text is its key without the kind: the code, or speaker, day and phrase."""
+    passage: dict[str, tuple] = {}
     shard: Shard | None = None
+    held: list[tuple] = []
     for batch in batches:
         out: list[tuple[str, str]] = []
         for row in zip(*(batch.column(c).to_pylist() for c in COLUMNS), strict=True):
-            route, key, text, phrase, phrase_2, speaker, day, n, is_text = row
+            route, key, speaker, day, n, is_text = row
             if not is_text:
-                # An uncoded text is scanned for the passages of its own speaker and day only.
-                passage[route if key[0] == "u" else "", key] = row
+                passage[key] = row
                 continue
             if shard is None:
                 held = list(passage.values())
-                shard = Shard([_text(r[0], r[2], r[1]) for r in held])
-            for i in shard.scan(_text(route, text, key)):
-                _, k, t, p, p2, s, d, m, _ = held[i]
-                if k[0] != key[0]:
-                    continue
-                if k[0] == "u":
-                    # Two phrases that are both in use aren't each other's slip.
-                    if k == key or min(n, m) * 8 <= max(n, m):
+                shard = Shard([r[1][2:] for r in held])
+            for i in shard.scan(key[2:]):
+                _, k, s, d, m, _ = held[i]
+                if k == key:
+                    # Of the three shards in which a code meets itself the first counts.
+                    if key[0] == "u" or route[0] == "<":
                         out.append((k, key))
-                elif route[0] == _route_kind(t, text):
-                    near = (s is None or speaker is None or s == speaker) and (d is None or day is None or d == day) and _same_words((p, p2), (phrase, phrase_2))
-                    if t == text or near:
+                elif k[0] != key[0]:
+                    continue
+                elif key[0] == "u":
+                    # Only a phrase may slip, and not into another that is in use.
+                    if k.rpartition("|")[0] == key.rpartition("|")[0] and min(n, m) * 8 <= max(n, m):
                         out.append((k, key))
+                elif route[0] == _route_kind(k[2:], key[2:]) and (s is None or speaker is None or s == speaker) and (d is None or day is None or d == day):
+                    out.append((k, key))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string())], ["evaluation", "train"])
 
 
-def _text(route: str, text: str, key: str) -> str:
-    return text if key[0] == "c" else f"{route}|{text}"
-
-
 def matching_sessions(sessions: DataFrame) -> DataFrame:
     """(evaluation, train): the pairs of session keys whose rows may be one take.
 
     Sessions are sharded by parts of their code, three keys each, of which two codes of one slip share one; sessions without a code by speaker and day. A shard's evaluation passages make
     an automaton, and every train text of the shard is scanned by it. A session is one text however many rows it has, so a hot one is no load. The pairs are distinct."""
-    code = F.col("code")
+    code = F.substr("key", F.lit(3))
     shards = F.array(F.concat(F.lit("<"), F.left(code, F.lit(4))), F.concat(F.lit(">"), F.right(code, F.lit(4))), F.concat(F.lit("="), F.left(code, F.lit(3)), F.right(code, F.lit(3))))
-    counts = sessions.where(code.isNull()).groupBy(F.col("phrase").alias("_phrase")).agg(F.sum("n").alias("n_phrase"))
-    text = F.coalesce(code, F.col("phrase")).alias("text")
-    rows = [c if c != "text" else text for c in COLUMNS[1:7]]
-    coded = sessions.where(code.isNotNull()).select(F.explode(shards).alias("route"), *rows, F.lit(0).cast("bigint").alias("n_phrase"), "has_eval", "has_train")
-    plain = sessions.where(code.isNull()).join(counts, F.col("phrase") == F.col("_phrase")).select(F.concat_ws("|", "speaker", "day").alias("route"), *rows, "n_phrase", "has_eval", "has_train")
-    both = coded.unionByName(plain)
-    roles = both.where(F.col("has_eval") | F.col("has_train")).withColumn("is_text", F.explode(F.filter(F.array(F.when(F.col("has_eval"), F.lit(False)), F.when(F.col("has_train"), F.lit(True))), lambda x: x.isNotNull())))
-    return roles.select(*COLUMNS).repartition(F.col("route")).sortWithinPartitions("is_text").mapInArrow(_scan, "evaluation string, train string")
+    is_coded = F.col("key").startswith("c")
+    plain = sessions.where(~is_coded).withColumn("phrase", F.substring_index("key", "|", -1))
+    counts = plain.groupBy(F.col("phrase").alias("_phrase")).agg(F.sum("n").alias("n_phrase"))
+    columns = ["route", "key", "speaker", "day", "n_phrase", "has_eval", "has_train"]
+    both = sessions.where(is_coded).withColumn("route", F.explode(shards)).withColumn("n_phrase", F.lit(0).cast("bigint")).select(*columns)
+    both = both.unionByName(plain.join(counts, F.col("phrase") == F.col("_phrase")).withColumn("route", F.substring_index("key", "|", 3)).select(*columns))
+    roles = F.filter(F.array(F.when(F.col("has_eval"), F.lit(False)), F.when(F.col("has_train"), F.lit(True))), lambda x: x.isNotNull())
+    return both.withColumn("is_text", F.explode(roles)).select(*COLUMNS).repartition(F.col("route")).sortWithinPartitions("is_text").mapInArrow(_scan, "evaluation string, train string")
 
 
 def overlapping_takes(records: DataFrame) -> DataFrame:
@@ -189,11 +187,14 @@ def overlapping_takes(records: DataFrame) -> DataFrame:
     Rows are one take if their take numbers are equal, no two known speakers differ, and their sessions match: the same code, or one slip away with the same phrase and nothing known that
     differs; without a code the same speaker, day folder and phrase, the phrase up to a slip that is no other phrase in use. Repeated rows pair like others; rows without a split, take
     or session pair with none. All pairs of a session's take are returned, as they are the result wanted; the join splits a hot session."""
-    takes = cut(parsed_takes(records), "takes")
+    takes = cut(slim(parsed_takes(records)), "takes")
     pairs = cut(matching_sessions(sessions_of(takes)), "sessions")
-    rows = takes.where(F.col("key").isNotNull()).select("row_id", "split", "speaker", "key", "take")
-    train = rows.where(F.col("split") == "train").select(F.col("row_id").alias("row_id_train"), F.col("speaker").alias("speaker_train"), F.col("key").alias("train"), "take")
-    held = rows.where(F.col("split") != "train").select(F.col("row_id").alias("row_id_eval"), "split", "speaker", F.col("key").alias("evaluation"), F.col("take").alias("take_eval"))
+    rows = takes.where(F.col("key").isNotNull() & F.col("split").isNotNull()).select("row_id", "split", "speaker", "key", "take", "phrase")
+    train = rows.where(F.col("split") == "train").select(F.col("row_id").alias("row_id_train"), F.col("speaker").alias("speaker_train"), F.col("key").alias("train"), "take", F.col("phrase").alias("phrase_train"))
+    held = rows.where(F.col("split") != "train").select(F.col("row_id").alias("row_id_eval"), "split", "speaker", F.col("key").alias("evaluation"), F.col("take").alias("take_eval"), "phrase")
     met = held.join(pairs.withColumnRenamed("train", "train_key"), "evaluation").join(train, (F.col("train_key") == F.col("train")) & (F.col("take_eval") == F.col("take")))
     differ = F.coalesce(F.col("speaker") != F.col("speaker_train"), F.lit(False))
-    return met.where(~differ).select("row_id_train", "row_id_eval", "split")
+    # Two codes of one slip must go with one phrase, up to a slip or what a tool has put behind it.
+    a, b = F.col("phrase"), F.col("phrase_train")
+    words = F.when((F.col("evaluation") == F.col("train")) | ~F.col("train").startswith("c"), F.lit(True)).otherwise(a.startswith(b) | b.startswith(a) | one_slip(a, b))
+    return met.where(~differ & words).select("row_id_train", "row_id_eval", "split")
