@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from typing import Any, TypeVar
 
 T = TypeVar("T")
+# Fixed value: how a settings document refers to the environment.
 _REFERENCE = re.compile(r"\$\{(?P<name>[^}:]+)(?::-(?P<other>[^}]*))?\}")
 
 

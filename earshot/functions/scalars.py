@@ -14,6 +14,9 @@ NAME_NOISE = (
     r"[-_]\d{1,3}$",
 )
 
+# How a file's name gives its speaker, in order.
+SPEAKER_IN_NAME = (r"^(hey_[A-Za-z0-9]+)_\d{8}", r"^([A-Za-z][A-Za-z0-9]+)_\d{8,}")
+
 
 def stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
@@ -45,7 +48,7 @@ def named_speaker(path: Column, labels: list[str]) -> Column:
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     some = lambda p: F.nullif(F.regexp_extract(name, p, 1), F.lit(""))
     folder = F.nullif(parent(path), F.lit(""))
-    return F.coalesce(some(r"^(hey_[A-Za-z0-9]+)_\d{8}"), some(r"^([A-Za-z][A-Za-z0-9]+)_\d{8,}"), F.when(~folder.isin(labels), folder))
+    return F.coalesce(*map(some, SPEAKER_IN_NAME), F.when(~folder.isin(labels), folder))
 
 
 def sigmoid(x: Column) -> Column:
