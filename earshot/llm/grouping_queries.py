@@ -5,36 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
-from earshot.functions.text import folding
 from earshot.llm.grouping import assign_splits, crossing_groups, resolved_speaker, with_component
+from earshot.llm.sql_forms import folder_sql, id_sql, path_sql, split_sql
 from earshot.plans.registry import Registry
 from earshot.session import cut
 from earshot.sources.tables import table
 
 REGISTRY = Registry()
 
-_FROM, _OUT = folding()
-
-
-def _plain(x: str) -> str:
-    """DuckDB's form of `plain`, with the same table."""
-    return f"lower(translate({x}, '{''.join(_FROM)}{_OUT}', '{''.join(_FROM.values()).replace("'", "''")}'))"
-
-
-def _numbered(x: str) -> str:
-    return f"(CASE WHEN {x} <> '' THEN 'spk_' || lpad(regexp_replace(replace({x}, 'o', '0'), '^0+([0-9])', '\\1'), 9, '0') END)"
-
-
-def _id(x: str) -> str:
-    return _numbered(f"regexp_extract({_plain(x)}, '^\\s*(?:spk|speaker)?[\\s_.:#-]*([0-9o]*[0-9][0-9o]*)(?:\\.0+)?\\s*$', 1)")
-
-
-_PATH = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace({_plain('url_decode(path)')}, '\\', '/'), '^\\s*(?:file:|[a-z]:)?', '/'), '\\s+$', ''), '/(?:\\./|/)*', '/', 'g'), '/[^/]+/\\.\\./', '/', 'g')"
 FOUND_SQL = f"""
-WITH RECURSIVE r AS (SELECT row_id, {_PATH} AS file, {_id('speaker_id')} AS known, trim({_plain("translate(split, chr(10) || chr(9), '  ')")}) AS s FROM sample_records),
-m AS (SELECT {_PATH} AS file, min({_id('speaker_id')}) AS spk FROM speaker_map GROUP BY 1),
-n AS (SELECT row_id, CASE WHEN s = 'val' THEN 'validation' WHEN s IN ('train', 'validation', 'test') THEN s END AS split,
-        coalesce(known, {_numbered("regexp_extract(r.file, '/(?:spk|speaker)[_ .-]?([0-9o]*[0-9][0-9o]*)/', 1)")}, m.spk) AS spk FROM r LEFT JOIN m ON r.file = m.file),
+WITH RECURSIVE r AS (SELECT row_id, {path_sql('path')} AS file, {id_sql('speaker_id')} AS known, {split_sql('split')} AS split FROM sample_records),
+m AS (SELECT {path_sql('path')} AS file, min({id_sql('speaker_id')}) AS spk FROM speaker_map GROUP BY 1),
+n AS (SELECT row_id, split, coalesce(known, {folder_sql('r.file')}, m.spk) AS spk FROM r LEFT JOIN m ON r.file = m.file),
 e AS (SELECT speaker_a AS a, speaker_b AS b FROM speaker_links WHERE confirmed UNION SELECT speaker_b, speaker_a FROM speaker_links WHERE confirmed),
 reach AS (SELECT a AS id, a AS other FROM e UNION SELECT reach.id, e.b FROM reach JOIN e ON reach.other = e.a),
 c AS (SELECT id, min(other) AS comp FROM reach GROUP BY id),
