@@ -22,13 +22,14 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "sample_records").select("row_id", "path", split_name(F.col("split")).alias("split"), F.lower("label").alias("label"), "speaker_id", F.col("duration_ms").alias("ms"), "sample_rate", "weight")
 
 
-def _ok(c: str = "discard") -> F.Column:
-    return F.coalesce(F.col(c), F.lit(False))
+def exact_sum(c: str) -> F.Column:
+    """A sum that doesn't depend on the order of the rows."""
+    return F.sum(F.col(c).cast("decimal(18,3)")).cast("double")
 
 
-@REGISTRY.add("AG1_corpus_stats", f"WITH {R}, g AS (SELECT s.split, l.label FROM (VALUES ('train'), ('validation'), ('test')) s(split) CROSS JOIN (VALUES ('positive'), ('negative'), ('hard_negative'), ('background')) l(label)) SELECT g.split, g.label, count(r.row_id) AS n, round(coalesce(sum(ms), 0) / 3600000.0, 6) AS hours, min(ms) AS shortest, max(ms) AS longest, round(avg(ms), 6) AS mean FROM g LEFT JOIN r ON r.split = g.split AND r.label = g.label GROUP BY ALL")
+@REGISTRY.add("AG1_corpus_stats", f"WITH {R}, g AS (SELECT s.split, l.label FROM (VALUES ('train'), ('validation'), ('test')) s(split) CROSS JOIN (VALUES ('positive'), ('negative'), ('hard_negative'), ('background')) l(label)) SELECT g.split, g.label, count(r.row_id) AS n, round(coalesce(sum(ms::DECIMAL(18, 3))::DOUBLE, 0) / 3600000.0::DOUBLE, 6) AS hours, min(ms) AS shortest, max(ms) AS longest, round(sum(ms::DECIMAL(18, 3))::DOUBLE / count(ms), 6) AS mean FROM g LEFT JOIN r ON r.split = g.split AND r.label = g.label GROUP BY ALL")
 def corpus_stats(spark, folder):
-    got = records(spark, folder).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("ms").alias("ms"), F.min("ms").alias("shortest"), F.max("ms").alias("longest"), F.avg("ms").alias("mean"))
+    got = records(spark, folder).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"), exact_sum("ms").alias("ms"), F.min("ms").alias("shortest"), F.max("ms").alias("longest"), (exact_sum("ms") / F.count("ms")).alias("mean"))
     domain = spark.createDataFrame([(s, x) for s in SPLITS for x in LABELS], "split string, label string")
     return domain.join(got, ["split", "label"], "left").select("split", "label", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("ms", F.lit(0.0)) / 3600000.0, 6).alias("hours"), "shortest", "longest", F.round("mean", 6).alias("mean"))
 
@@ -177,9 +178,9 @@ def clipping(spark, folder):
     return table(spark, folder, "embeddings").select("vec_id", F.when(F.size(e) > 0, F.size(F.filter(e, lambda v: F.abs(v) >= F.lit(0.2))) / F.size(e)).otherwise(0.0).alias("clip_ratio"))
 
 
-@REGISTRY.add("AG52_duration_stats", f"WITH {R} SELECT min(ms) AS shortest, max(ms) AS longest, round(avg(ms), 6) AS mean, round(sum(ms) / 3600000, 6) AS hours FROM r")
+@REGISTRY.add("AG52_duration_stats", f"WITH {R} SELECT min(ms) AS shortest, max(ms) AS longest, round(sum(ms::DECIMAL(18, 3))::DOUBLE / count(ms), 6) AS mean, round(sum(ms::DECIMAL(18, 3))::DOUBLE / 3600000, 6) AS hours FROM r")
 def durations(spark, folder):
-    return records(spark, folder).agg(F.min("ms").alias("shortest"), F.max("ms").alias("longest"), F.round(F.avg("ms"), 6).alias("mean"), F.round(F.sum("ms") / 3600000, 6).alias("hours"))
+    return records(spark, folder).agg(F.min("ms").alias("shortest"), F.max("ms").alias("longest"), F.round(exact_sum("ms") / F.count("ms"), 6).alias("mean"), F.round(exact_sum("ms") / 3600000, 6).alias("hours"))
 
 
 @REGISTRY.add("AG53_arena_estimate", "SELECT p_type, round(sum(list_product([p_size::DOUBLE, 40.0, CASE WHEN p_size % 2 = 0 THEN 1.0 ELSE 4.0 END])) * 1.1, 3) AS bytes FROM part GROUP BY p_type")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from earshot.functions import arrays as ar, scalars as sf
 from earshot.operators import curation as cu
-from earshot.plans.aggregate_queries import P, R, predictions, records
+from earshot.plans.aggregate_queries import P, R, exact_sum, predictions, records
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import S, r6, stream
 from earshot.sources.tables import table
@@ -505,9 +505,9 @@ def sc21(spark, folder):
     return table(spark, folder, "file_scores").groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@REGISTRY.add("SC22_corpus_counters", f"WITH {R} SELECT label, count(*) AS files, round(sum(ms) / 1000, 3) AS seconds, round(avg(ms) / 1000, 6) AS mean_s FROM r GROUP BY ROLLUP (label)")
+@REGISTRY.add("SC22_corpus_counters", f"WITH {R} SELECT label, count(*) AS files, round(sum(ms::DECIMAL(18, 3))::DOUBLE / 1000, 3) AS seconds, round(sum(ms::DECIMAL(18, 3))::DOUBLE / count(ms) / 1000, 6) AS mean_s FROM r GROUP BY ROLLUP (label)")
 def sc22(spark, folder):
-    return records(spark, folder).rollup("label").agg(F.count(F.lit(1)).alias("files"), F.round(F.sum("ms") / 1000, 3).alias("seconds"), F.round(F.avg("ms") / 1000, 6).alias("mean_s"))
+    return records(spark, folder).rollup("label").agg(F.count(F.lit(1)).alias("files"), F.round(exact_sum("ms") / 1000, 3).alias("seconds"), F.round(exact_sum("ms") / F.count("ms") / 1000, 6).alias("mean_s"))
 
 
 @REGISTRY.add("SC8_batch_lookup", "SELECT i.pos::INT AS pos, e.vec_id, e.label FROM (SELECT unnest([7, 3, 99, 3, 250]) AS id, unnest(range(5)) AS pos) i JOIN embeddings e ON e.vec_id = i.id")

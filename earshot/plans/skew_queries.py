@@ -24,8 +24,8 @@ SELECT spk AS speaker_id FROM r WHERE spk IS NOT NULL GROUP BY spk HAVING count(
 
 STATS_SQL = f"""
 WITH r AS ({SPEAKER_SQL})
-SELECT spk AS speaker_id, count(*) AS n_rows, count(duration_ms) AS n_timed, round(sum(duration_ms) / 3600000.0, 6) AS hours, round(min(duration_ms), 6) AS shortest_ms,
-       round(max(duration_ms), 6) AS longest_ms, round(avg(weight), 6) AS mean_weight, count(DISTINCT path) AS n_paths
+SELECT spk AS speaker_id, count(*) AS n_rows, count(duration_ms) AS n_timed, sum(duration_ms::DECIMAL(18, 3))::DOUBLE AS total_ms, round(min(duration_ms), 6) AS shortest_ms,
+       round(max(duration_ms), 6) AS longest_ms, sum(weight::DECIMAL(18, 6))::DOUBLE AS total_weight, count(DISTINCT path) AS n_paths
 FROM r GROUP BY spk"""
 
 
@@ -42,12 +42,13 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
 @REGISTRY.add("p4_speaker_stats", STATS_SQL)
 def stats(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, hours, lengths and distinct files of every speaker, the missing one included."""
-    rows = _rows(spark, folder, "path", "duration_ms", "weight").withColumn("timed", F.col("duration_ms").isNotNull().cast("bigint"))
+    # Sums of decimals don't depend on the order of the rows.
+    rows = _rows(spark, folder, "path", "duration_ms", "weight").withColumns({"timed": F.col("duration_ms").isNotNull().cast("bigint"), "exact_ms": F.col("duration_ms").cast("decimal(18,3)"), "exact_weight": F.col("weight").cast("decimal(18,6)")})
     out = salted_aggregate(
         rows,
         "speaker_id",
-        [Agg("n_rows", "count"), Agg("n_timed", "sum", "timed"), Agg("ms", "sum", "duration_ms"), Agg("shortest_ms", "min", "duration_ms"), Agg("longest_ms", "max", "duration_ms"), Agg("mean_weight", "avg", "weight"), Agg("n_paths", "distinct", "path")],
+        [Agg("n_rows", "count"), Agg("n_timed", "sum", "timed"), Agg("total_ms", "sum", "exact_ms"), Agg("shortest_ms", "min", "duration_ms"), Agg("longest_ms", "max", "duration_ms"), Agg("total_weight", "sum", "exact_weight"), Agg("n_paths", "distinct", "path")],
         salt_by=["row_id"],
     )
     r = lambda c: F.round(c, 6)
-    return out.select("speaker_id", "n_rows", "n_timed", r(F.col("ms") / 3600000.0).alias("hours"), r(F.col("shortest_ms")).alias("shortest_ms"), r(F.col("longest_ms")).alias("longest_ms"), r(F.col("mean_weight")).alias("mean_weight"), "n_paths")
+    return out.select("speaker_id", "n_rows", "n_timed", F.col("total_ms").cast("double").alias("total_ms"), r(F.col("shortest_ms")).alias("shortest_ms"), r(F.col("longest_ms")).alias("longest_ms"), F.col("total_weight").cast("double").alias("total_weight"), "n_paths")
