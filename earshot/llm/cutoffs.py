@@ -35,7 +35,9 @@ def source_cutoffs(scores: DataFrame, targets: DataFrame, *, source: str, value:
     1. A mergeable quantile sketch per source, whose rank error is bounded by rows / `accuracy`, gives a bracket around the wanted rank.
     2. One pass counts the rows above each bracket and groups those within it by value, so a hot source is counted by map-side partial sums and ties collapse.
     3. Only the distinct values within a bracket are sorted. Where the exact counts show that a bracket misses the rank, the source is selected from all its values.
-    A source without counted rows has no cutoff row. An empty table gives no rows."""
+    A source without counted rows has no cutoff row. An empty table gives no rows. Columns other than `source`, `value`, `dropped` and `keep` play no part."""
+    if clash := {"source", "value", "cutoff"} & set(keep):
+        raise ValueError(f"rename {sorted(clash)} first")
     wanted: dict[str, int] = {}
     for name, pct in bounded(targets, most_targets):
         if name is not None and pct is not None:

@@ -13,8 +13,8 @@ from earshot.session import cut
 
 def with_component(rows: DataFrame, member: str, links: DataFrame, a: str, b: str) -> DataFrame:
     """`rows` with the column `group`: the component of `member` through `links`, or `member` itself. Null members have the null group."""
-    joined = components(links, a, b).select(F.col("id").alias("_id"), F.col("component").alias("_component"))
-    return rows.join(joined, F.col(member) == F.col("_id"), "left").withColumn("group", F.coalesce("_component", F.col(member))).drop("_id", "_component")
+    joined = components(links, a, b).select(F.col("id").alias("__id"), F.col("component").alias("__component"))
+    return rows.join(joined, F.col(member) == F.col("__id"), "left").withColumn("group", F.coalesce("__component", F.col(member))).drop("__id", "__component")
 
 
 def crossing_groups(rows: DataFrame, group: str, split: str) -> DataFrame:
@@ -62,25 +62,26 @@ def assign_splits(rows: DataFrame, targets: DataFrame, *, group: str, row_id: st
     1 / `heavy_share`. All other groups go by hash into blocks of
     about 100,000 groups, `blocks` at least; within a block the largest-differencing method makes `bins` bins of equal weight, one Arrow task a block; the
     bin sums of all blocks, `bins` x `blocks` numbers, are differenced again on the driver into `bins` equal bins, and whole bins go to splits by target share.
-    targets: shares need not sum to 1; null or negative ones raise. Empty rows give no rows. Repeated rows stay repeated: equal row ids without a group stay together."""
+    targets: shares need not sum to 1; null or negative ones raise. Empty rows give no rows. Repeated rows stay repeated: equal row ids without a group stay together. Names that begin with
+    two underscores are taken; other columns of `rows` are kept."""
     wanted = {r[name]: float(r[share]) for r in bounded(targets.select(name, share), most_targets) if r[name] is not None}
     if not wanted or any(not x >= 0 for x in wanted.values()) or not sum(wanted.values()) > 0:
         raise ValueError("targets need shares of 0 or more that aren't all 0")
     total = rows.count()
     bundle = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(F.col(row_id)), F.lit(bins * 20)).cast("string"))
-    keyed = rows.withColumn("_group", F.coalesce(F.col(group).cast("string"), bundle))
-    weights = cut(keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("w")), "weights")
-    heavy = [(r["w"], r["_group"]) for r in weights.where(F.col("w") >= max(2.0, total * heavy_share)).collect()]  # 1 / heavy_share at most
+    keyed = rows.withColumn("__group", F.coalesce(F.col(group).cast("string"), bundle))
+    weights = cut(keyed.groupBy("__group").agg(F.count(F.lit(1)).alias("w")), "weights")
+    heavy = [(r["w"], r["__group"]) for r in weights.where(F.col("w") >= max(2.0, total * heavy_share)).collect()]  # 1 / heavy_share at most
     blocks = max(blocks, weights.count() // 100_000)
-    light = weights.where(F.col("w") < max(2.0, total * heavy_share)).withColumn("block", F.pmod(F.xxhash64("_group"), F.lit(blocks)).cast("int"))
+    light = weights.where(F.col("w") < max(2.0, total * heavy_share)).withColumn("block", F.pmod(F.xxhash64("__group"), F.lit(blocks)).cast("int"))
 
     def block(pdf):
         import pandas as pd
 
-        made = _block_bins(list(zip(pdf["w"].tolist(), pdf["_group"].tolist())), bins)
-        return pd.DataFrame([(int(pdf["block"].iat[0]), i, w, g) for i, members in enumerate(made) for w, g in members], columns=["block", "bin", "w", "_group"])
+        made = _block_bins(list(zip(pdf["w"].tolist(), pdf["__group"].tolist())), bins)
+        return pd.DataFrame([(int(pdf["block"].iat[0]), i, w, g) for i, members in enumerate(made) for w, g in members], columns=["block", "bin", "w", "__group"])
 
-    binned = cut(light.groupBy("block").applyInPandas(block, "block int, bin int, w bigint, _group string"), "bins")
+    binned = cut(light.groupBy("block").applyInPandas(block, "block int, bin int, w bigint, __group string"), "bins")
     sums = binned.groupBy("block", "bin").agg(F.sum("w").alias("w")).collect()  # bins x blocks numbers at most
     by_block: dict[int, list] = {}
     for r in sums:
@@ -89,9 +90,9 @@ def assign_splits(rows: DataFrame, targets: DataFrame, *, group: str, row_id: st
     of = allocate([(w, i) for i, (w, m) in enumerate(full) if m] + [(w, g) for w, g in heavy], wanted)
     spark = rows.sparkSession
     whole = spark.createDataFrame([(b, k, of[i]) for i, (_, m) in enumerate(full) for b, k in m], "block int, bin int, assigned string")
-    solo = spark.createDataFrame([(g, of[g]) for _, g in heavy], "_group string, assigned string")
-    chosen = binned.join(F.broadcast(whole), ["block", "bin"]).select("_group", "assigned").unionByName(solo)  # bins x blocks rows at most
-    return keyed.join(chosen, "_group").drop("_group")
+    solo = spark.createDataFrame([(g, of[g]) for _, g in heavy], "__group string, assigned string")
+    chosen = binned.join(F.broadcast(whole), ["block", "bin"]).select("__group", "assigned").unionByName(solo)  # bins x blocks rows at most
+    return keyed.join(chosen, "__group").drop("__group")
 
 
 def _block_bins(weights: list[tuple[int, str]], n: int) -> list[list[tuple[int, str]]]:
@@ -108,7 +109,7 @@ def resolved_speaker(rows: DataFrame, known: Column, in_folder: Column, file: Co
     """`rows` with the column `speaker`: the known one, else the folder's, else the one the map has for the file.
 
     A map that gives one file several speakers counts by the least id. Only rows that need the map are joined with it, on the file's whole path."""
-    marked = rows.withColumn("speaker", F.coalesce(known, in_folder)).withColumn("_file", F.when(F.col("speaker").isNull(), file))
-    least = speaker_map.select(map_file.alias("_file"), map_speaker.alias("_mapped")).where(F.col("_file").isNotNull() & F.col("_mapped").isNotNull()).groupBy("_file").agg(F.min("_mapped").alias("_mapped"))
-    lacking = marked.where(F.col("_file").isNotNull()).join(least, "_file", "left").withColumn("speaker", F.col("_mapped")).drop("_mapped", "_file")
-    return marked.where(F.col("_file").isNull()).drop("_file").unionByName(lacking)
+    marked = rows.withColumn("speaker", F.coalesce(known, in_folder)).withColumn("__file", F.when(F.col("speaker").isNull(), file))
+    least = speaker_map.select(map_file.alias("__file"), map_speaker.alias("__mapped")).where(F.col("__file").isNotNull() & F.col("__mapped").isNotNull()).groupBy("__file").agg(F.min("__mapped").alias("__mapped"))
+    lacking = marked.where(F.col("__file").isNotNull()).join(least, "__file", "left").withColumn("speaker", F.col("__mapped")).drop("__mapped", "__file")
+    return marked.where(F.col("__file").isNull()).drop("__file").unionByName(lacking)

@@ -186,7 +186,7 @@ def overlapping_takes(records: DataFrame) -> DataFrame:
 
     Rows are one take if their take numbers are equal, no two known speakers differ, and their sessions match: the same code, or one slip away with the same phrase and nothing known that
     differs; without a code the same speaker, day folder and phrase, the phrase up to a slip that is no other phrase in use. Repeated rows pair like others; rows without a split, take
-    or session pair with none. All pairs of a session's take are returned, as they are the result wanted; the join splits a hot session."""
+    or session pair with none, and an empty table gives no pairs. Paths are read whole however long, and columns other than the four named play no part. All pairs of a session's take are returned, as they are the result wanted; the join splits a hot session."""
     takes = cut(slim(parsed_takes(records)), "takes")
     pairs = cut(matching_sessions(sessions_of(takes)), "sessions")
     rows = takes.where(F.col("key").isNotNull() & F.col("split").isNotNull()).select("row_id", "split", "speaker", "key", "take", "phrase")

@@ -405,6 +405,8 @@ def score_documents(documents: DataFrame, model: Model, *, text: str, keep: list
 
     The score is the highest mean of the tokens' marginals over one utterance; spans are the runs of tokens of marginals over a half in utterances that reach the threshold, with offsets in the
     original text. Whole texts are read. Null and empty texts have score 0 and no spans."""
+    if clash := {"score", "toxic", "spans", "_text"} & set(keep):
+        raise ValueError(f"rename {sorted(clash)} first")
     table = plain_table()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema.fields) + ", " + SCORES
     n = len(keep)

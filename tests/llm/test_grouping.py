@@ -43,9 +43,9 @@ def test_shares_and_groups(spark):
 def test_bad_targets_empty_and_clashing(spark):
     t = spark.createDataFrame([("train", 1.0)], "split string, share double")
     assert assign_splits(data(spark).limit(0), t, group="g", row_id="row_id").count() == 0
-    extra = data(spark, 800).withColumn("w", F.lit(1)).withColumn("block", F.lit(2)).withColumn("bin", F.lit(3))
+    extra = data(spark, 800).withColumn("w", F.lit(1)).withColumn("block", F.lit(2)).withColumn("bin", F.lit(3)).withColumn("_group", F.lit("x"))
     out = assign_splits(extra, t, group="g", row_id="row_id", bins=10, blocks=2)
-    assert out.count() == 800 and set(out.columns) == {"row_id", "g", "w", "block", "bin", "assigned"}
+    assert out.count() == 800 and set(out.columns) == {"row_id", "g", "w", "block", "bin", "_group", "assigned"}
     for bad in ([("a", -1.0)], [("a", 0.0)], []):
         with pytest.raises(ValueError):
             assign_splits(data(spark), spark.createDataFrame(bad, "split string, share double"), group="g", row_id="row_id")
