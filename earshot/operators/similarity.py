@@ -225,3 +225,38 @@ def closest_to_centroid(df: DataFrame, *, vec_id: str, vector: str, group: str,
     d = F.sqrt(F.aggregate(F.zip_with("v", "c", lambda a, b: F.pow(a.cast("double") - b, 2)), F.lit(0.0), lambda a, x: a + x))
     near = rows.join(mean, "group").select("group", "id", F.round(d, 9).alias("distance"))
     return top_per_group(near, ["group"], k, F.col("distance"), F.col("id"))
+
+
+def vectors(df: DataFrame, *, keep: list[str], payload: str, model, width: int) -> DataFrame:
+    """The columns `keep` and `vector`: what `model`, a function of a list of payloads to a matrix of `width` columns, makes of each row's payload, a batch at a time. Null payloads give null."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields) + ", vector array<float>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(len(keep)).to_pylist()
+            at = [i for i, v in enumerate(values) if v is not None]
+            out: list = [None] * len(values)
+            made = np.asarray(model([values[i] for i in at]), np.float32).reshape(len(at), width) if at else []
+            for i, row in zip(at, made):
+                out[i] = row
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(out, pa.list_(pa.float32()))], names=[*keep, "vector"])
+
+    return df.select(*keep, F.col(payload).alias("_payload")).mapInArrow(run, schema)
+
+
+def hashed_words(width: int = 64):
+    """A model for `vectors`: counts of a text's words by hash, a sign from the hash, of length one."""
+
+    def model(texts: list[str]) -> np.ndarray:
+        import re
+        import zlib
+
+        m = np.zeros((len(texts), width))
+        for i, t in enumerate(texts):
+            for w in re.findall(r"\w+", t.lower()):
+                h = zlib.crc32(w.encode())
+                m[i, h % width] += 1 if h >> 16 & 1 else -1
+        n = np.linalg.norm(m, axis=1, keepdims=True)
+        return m / np.where(n == 0, 1.0, n)
+
+    return model

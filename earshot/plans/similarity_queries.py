@@ -75,6 +75,14 @@ def cl7(spark, folder):
     return d.groupBy("h").agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+@REGISTRY.add("CL8_embedding_extraction", "SELECT count(text) AS n, count(text) FILTER (regexp_matches(text, '[A-Za-z0-9]')) AS n_unit FROM documents")
+def cl8(spark, folder):
+    """Vectors of whole texts by a model run over batches; all but those of texts without words have length one."""
+    v = sm.vectors(table(spark, folder, "documents"), keep=["doc_id"], payload="text", model=sm.hashed_words(), width=64)
+    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
+    return v.agg(F.count("vector").alias("n"), F.count_if(F.abs(norm - 1) < 1e-3).alias("n_unit"))
+
+
 @REGISTRY.add("TK7_closest_to_centroid", """WITH x AS (SELECT label, vec_id, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings), c AS (SELECT label, i, avg(x::DOUBLE) AS m FROM x GROUP BY label, i), d AS (SELECT x.label, x.vec_id, round(sqrt(sum((x.x - c.m) * (x.x - c.m))), 6) AS d FROM x JOIN c USING (label, i) GROUP BY 1, 2)
 SELECT label AS grp, vec_id AS id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY d, vec_id) AS r FROM d) WHERE r <= 3""")
 def tk7(spark, folder):

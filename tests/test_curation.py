@@ -120,6 +120,13 @@ def test_clusters(spark):
     assert far[0] == (0, 0) and far[1][1] >= 10
 
 
+def test_vectors(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "b a")], "id int, t string")
+    got = {r.id: r.vector for r in sm.vectors(df, keep=["id"], payload="t", model=sm.hashed_words(8), width=8).collect()}
+    assert got[2] is None and got[3] == [0.0] * 8 and got[1] == got[4] and abs(np.linalg.norm(got[1]) - 1) < 1e-6
+    assert sm.vectors(df.limit(0), keep=["id"], payload="t", model=sm.hashed_words(8), width=8).count() == 0
+
+
 def test_group_split(spark):
     df = spark.createDataFrame([(i, f"g{i % 30}" if i % 7 else None) for i in range(700)], "id bigint, g string")
     out = sp.group_split(df, "g", "id", 0.8, 0.1)
