@@ -8,7 +8,7 @@ from earshot.functions import arrays as ar, scalars as sf
 from earshot.operators import curation as cu
 from earshot.plans.aggregate_queries import P, R, exact_sum, predictions, records
 from earshot.plans.registry import Registry
-from earshot.plans.score_queries import S, r6, stream
+from earshot.plans.score_queries import S, stream
 from earshot.sources.tables import table
 
 REGISTRY = Registry()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from earshot.functions.speakers import speaker, split_name
+from earshot.functions.speakers import speaker
 from earshot.operators.skew import Agg, keys_above, salted_aggregate
 from earshot.plans.registry import Registry
 from earshot.sources.tables import table
