@@ -29,7 +29,7 @@ def _by_clip():
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/earshot/{name}-{uuid.uuid4().hex}"
+    return f"{workspace(spark)}/earshot-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def _score_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -49,8 +49,18 @@ def workspace(spark: SparkSession) -> str:
     return folder
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{workspace(spark)}/earshot-{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` as Parquet into the workspace and read it back: lineage ends here, and a lost executor costs nothing before it."""
-    path = f"{workspace(df.sparkSession)}/earshot/{name}-{uuid.uuid4().hex}"
+    path = f"{_own(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> bool:
+    """Delete what this application has cut. Frames made before can't be read afterwards. True if there was anything."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
