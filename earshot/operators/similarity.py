@@ -144,15 +144,22 @@ def _linkage(m: np.ndarray, k: int | None, distance: float | None, method: str)
     labels = np.arange(n)
     if n < 2:
         return labels
-    d = np.sqrt(np.maximum(0, 2 - 2 * m @ m.T))
-    if method == "ward":
-        d = d * d
+    d = m @ m.T
+    d *= -2
+    d += 2
+    np.maximum(d, 0, out=d)
+    if method != "ward":
+        np.sqrt(d, out=d)
     np.fill_diagonal(d, np.inf)
     size = np.ones(n)
+    # Each row's nearest, the first of several. Merged rows are no nearer than the nearer of the two was, so only the rows of which it was one of the two are looked through again.
+    near = d.argmin(1)
+    least = d[np.arange(n), near]
     alive = n
     while alive > 1:
-        i, j = np.unravel_index(d.argmin(), d.shape)
-        if (k is not None and alive <= k) or (distance is not None and d[i, j] > distance):
+        i = int(least.argmin())
+        j = int(near[i])
+        if (k is not None and alive <= k) or (distance is not None and least[i] > distance):
             break
         i, j = min(i, j), max(i, j)
         if method == "ward":
@@ -166,10 +173,17 @@ def _linkage(m: np.ndarray, k: int | None, distance: float | None, method: str)
         size[i] += size[j]
         labels[labels == j] = i
         alive -= 1
+        least[j] = np.inf
+        again = np.flatnonzero((near == i) | (near == j))
+        again = np.union1d(again[np.isfinite(least[again])], [i])
+        near[again] = d[again].argmin(1)
+        least[again] = d[again, near[again]]
+        closer = (new < least) | ((new == least) & (i < near) & np.isfinite(new))
+        near[closer], least[closer] = i, new[closer]
     return labels
 
 
-def cluster_blocks(df: DataFrame, *, vec_id: str, vector: str, block: str, similarity: float | None = None, k: int | None = None, most: int = 2000) -> DataFrame:
+def cluster_blocks(df: DataFrame, *, vec_id: str, vector: str, block: str, similarity: float | None = None, k: int | None = None, most: int = 5000) -> DataFrame:
     """(block, id, cluster): agglomerative clusters within each block of at most `most` rows (larger ones raise), each named by its least id.
 
     With `similarity` s complete linkage up to the euclidean distance 1 - s, which is a cosine of 1 - (1 - s)^2 / 2; with `k` Ward's method to k clusters."""
@@ -200,6 +214,20 @@ def coarse_cells(df: DataFrame, *, vec_id: str, vector: str, k: int, seed: int =
     return KMeans(k=k, seed=seed, maxIter=10).fit(data).transform(data).select("id", "v", F.col("prediction").alias("cell"))
 
 
+def two_stage_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: float, per_cell: int = 1000) -> DataFrame:
+    """(block, id, cluster): clusters by complete linkage within k-means cells of `per_cell` rows in the mean, ten cells at least."""
+    n = df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).count()
+    return cluster_blocks(coarse_cells(df, vec_id=vec_id, vector=vector, k=max(10, n // per_cell)), vec_id="id", vector="v", block="cell", similarity=similarity)
+
+
+def adaptive_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: float, whole: int = 5000, per_cell: int = 1000) -> DataFrame:
+    """(block, id, cluster): up to `whole` rows are clustered whole by complete linkage, as one block 0, and more by `two_stage_clusters`."""
+    n = df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).count()
+    if n <= whole:
+        return cluster_blocks(df.withColumn("_block", F.lit(0)), vec_id=vec_id, vector=vector, block="_block", similarity=similarity)
+    return two_stage_clusters(df, vec_id=vec_id, vector=vector, similarity=similarity, per_cell=per_cell)
+
+
 def farthest_points(df: DataFrame, *, vec_id: str, vector: str, group: str, k: int) -> DataFrame:
     """(group, id, rank): k rows per group, the first by id and then each the one farthest from all chosen. Each of the k rounds is a scan with map-side maxima; a group is never gathered."""
     rows = cut(df.where(F.col(vector).isNotNull()).select(F.col(group).alias("group"), F.col(vec_id).alias("id"), F.col(vector).alias("v")).withColumn("far", F.lit(float("inf"))), "points")

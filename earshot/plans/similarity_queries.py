@@ -48,18 +48,12 @@ def cl1(spark, folder):
 
 @REGISTRY.add("CL3_adaptive_selection")
 def cl3(spark, folder):
-    """Few rows are clustered in one block, more in two stages."""
-    e = table(spark, folder, "embeddings")
-    if e.count() <= 500:
-        return sm.cluster_blocks(e.withColumn("cell", F.lit(0)), block="cell", similarity=0.3, **_K)
-    return cl4(spark, folder)
+    return sm.adaptive_clusters(table(spark, folder, "embeddings"), similarity=0.3, **_K)
 
 
 @REGISTRY.add("CL4_two_stage")
 def cl4(spark, folder):
-    e = table(spark, folder, "embeddings")
-    cells = sm.coarse_cells(e, k=max(10, e.count() // 200), **_K)
-    return sm.cluster_blocks(cells, vec_id="id", vector="v", block="cell", similarity=0.3, most=5000)
+    return sm.two_stage_clusters(table(spark, folder, "embeddings"), similarity=0.3, **_K)
 
 
 @REGISTRY.add("CL6_leakage_audit", f"WITH {_V}, m AS (SELECT a.vec_id, max(list_cosine_similarity(a.e, b.e)) AS s FROM v a JOIN v b ON a.vec_id <> b.vec_id AND b.vec_id % 100 <> 0 WHERE a.vec_id % 100 = 0 GROUP BY 1) SELECT count(*) AS n_test, count(*) FILTER (s >= 0.35) AS n_leaking, round(max(s), 5) AS worst FROM m")

@@ -120,6 +120,40 @@ def test_clusters(spark):
     assert far[0] == (0, 0) and far[1][1] >= 10
 
 
+def test_up_to_5000_rows_are_clustered_whole(spark):
+    r = np.random.default_rng(4)
+    x = r.standard_normal((300, 4))
+    v = np.concatenate([x, x + 0.01 * r.standard_normal(x.shape)])
+    df = spark.createDataFrame([(i, y.tolist()) for i, y in enumerate(v)], "vec_id bigint, embedding array<double>")
+    kw = {"vec_id": "vec_id", "vector": "embedding", "similarity": 0.3}
+    whole = {y.id: y.cluster for y in sm.cluster_blocks(df.withColumn("b", F.lit(0)), block="b", **kw).collect()}
+    got = {y.id: y.cluster for y in sm.adaptive_clusters(df, **kw).collect()}
+    assert got == whole and len(got) == 600
+    cells = sm.adaptive_clusters(df, whole=599, per_cell=20, **kw)
+    assert cells.select("block").distinct().count() == 30
+
+
+@pytest.mark.parametrize("kw", [{"k": 7, "distance": None, "method": "ward"}, {"k": None, "distance": 0.9, "method": "complete"}])
+def test_linkage_merges_the_nearest_two_of_all(kw):
+    m = np.random.default_rng(6).standard_normal((60, 3))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    d = np.sqrt(np.maximum(0, 2 - 2 * m @ m.T))
+    groups = [[i] for i in range(60)]
+
+    def far(a, b):
+        if kw["method"] == "complete":
+            return d[np.ix_(a, b)].max()
+        return np.sqrt(2 * len(a) * len(b) / (len(a) + len(b))) * np.linalg.norm(m[a].mean(0) - m[b].mean(0))
+
+    while len(groups) > (kw["k"] or 1):
+        least, i, j = min((far(a, b), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
+        if kw["distance"] is not None and least > kw["distance"]:
+            break
+        groups[i] += groups.pop(j)
+    got = sm._linkage(m, **kw)
+    assert sorted(sorted(np.flatnonzero(got == c).tolist()) for c in set(got)) == sorted(sorted(g) for g in groups)
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "b a")], "id int, t string")
     got = {r.id: r.vector for r in sm.vectors(df, keep=["id"], payload="t", model=sm.hashed_words(8), width=8).collect()}
