@@ -138,20 +138,24 @@ def similarity_classes(df: DataFrame, *, vec_id: str, vector: str, threshold: fl
     return out.select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "class_id").alias("group"))
 
 
-def _linkage(m: np.ndarray, k: int | None, distance: float | None, method: str) -> np.ndarray:
-    """Agglomerative labels of unit rows by euclidean distance: complete linkage up to a distance, or Ward's to k clusters."""
+def _linkage(m: np.ndarray, k: int | None, distance: float | None, method: str, weight: np.ndarray | None = None) -> np.ndarray:
+    """Agglomerative labels of unit rows by euclidean distance: complete linkage up to a distance, or Ward's to k clusters. A row of weight w stands for w equal rows."""
     n = len(m)
     labels = np.arange(n)
     if n < 2:
         return labels
+    size = np.ones(n) if weight is None else weight.astype(np.float64)
     d = m @ m.T
     d *= -2
     d += 2
     np.maximum(d, 0, out=d)
-    if method != "ward":
+    if method == "ward":
+        d *= 2 * size
+        d *= size[:, None]
+        d /= size + size[:, None]
+    else:
         np.sqrt(d, out=d)
     np.fill_diagonal(d, np.inf)
-    size = np.ones(n)
     # Each row's nearest, the first of several. Merged rows are no nearer than the nearer of the two was, so only the rows of which it was one of the two are looked through again.
     near = d.argmin(1)
     least = d[np.arange(n), near]
@@ -183,26 +187,103 @@ def _linkage(m: np.ndarray, k: int | None, distance: float | None, method: str)
     return labels
 
 
-def cluster_blocks(df: DataFrame, *, vec_id: str, vector: str, block: str, similarity: float | None = None, k: int | None = None, most: int = 5000) -> DataFrame:
-    """(block, id, cluster): agglomerative clusters within each block of at most `most` rows (larger ones raise), each named by its least id.
+def _chained_linkage(m: np.ndarray, k: int | None, distance: float | None, method: str, weight: np.ndarray | None = None) -> np.ndarray:
+    """The clusters of `_linkage` without its matrix, by chains of nearest neighbours: memory in proportion to the rows, time to their square. Apart from ties of distance the clusters are the same.
 
-    With `similarity` s complete linkage up to the euclidean distance 1 - s, which is a cosine of 1 - (1 - s)^2 / 2; with `k` Ward's method to k clusters."""
+    Both linkages are reducible, so two clusters that are each other's nearest are merged whatever happens elsewhere; the merges are then cut by their distance or number."""
+    n = len(m)
+    size = np.ones(n) if weight is None else weight.astype(np.float64)
+    c, norm = m.copy(), (m * m).sum(1)  # centres, for Ward's method
+    owner = np.arange(n)  # of rows, for complete linkage
+    members = [[i] for i in range(n)]
+    active = np.ones(n, bool)
+    alive, n_alive = np.arange(n), n
+
+    def distances(a: int) -> np.ndarray:
+        """Of cluster a to each of `alive`; infinite to itself and to those that are gone."""
+        if method == "ward":
+            gap = np.maximum(0, norm[a] + norm[alive] - 2 * (c[alive] if len(alive) < n else c) @ c[a])
+            d = 2 * size[a] * size[alive] / (size[a] + size[alive]) * gap
+        else:
+            least = np.full(n, np.inf)
+            for at in range(0, len(members[a]), 256):
+                np.minimum(least, (m[members[a][at : at + 256]] @ m.T).min(0), out=least)
+            of = np.full(n, np.inf)
+            np.minimum.at(of, owner, least)
+            d = np.sqrt(np.maximum(0, 2 - 2 * of[alive]))
+        d[~active[alive] | (alive == a)] = np.inf
+        return d
+
+    merges, chain, start = [], [], 0
+    while n_alive > 0:
+        if not chain:
+            while not active[start]:
+                start += 1
+            chain.append((start, np.inf))
+        if n_alive < len(alive) // 2:
+            alive = np.flatnonzero(active)
+        a, before = chain[-1]
+        d = distances(a)
+        at = int(d.argmin())
+        b, gap = int(alive[at]), float(d[at])
+        if len(chain) > 1 and before <= gap:
+            b, gap = chain[-2][0], before
+        if gap == np.inf or (distance is not None and gap > distance):
+            # Nothing is near enough, and by complete linkage nothing will be.
+            active[a] = False
+            n_alive -= 1
+            chain.pop()
+        elif len(chain) > 1 and b == chain[-2][0]:
+            i, j = min(a, b), max(a, b)
+            merges.append((gap, len(merges), i, j))
+            if method == "ward":
+                c[i] = (size[i] * c[i] + size[j] * c[j]) / (size[i] + size[j])
+                norm[i] = c[i] @ c[i]
+            else:
+                owner[members[j]] = i
+            members[i] += members[j]
+            members[j] = []
+            size[i] += size[j]
+            active[j] = False
+            n_alive -= 1
+            del chain[-2:]
+        else:
+            chain.append((b, gap))
+    merges.sort()
+    parent = np.arange(n)
+    for _, _, i, j in merges if k is None else merges[: max(0, n - k)]:
+        while parent[i] != i:
+            i = parent[i]
+        while parent[j] != j:
+            j = parent[j]
+        parent[max(i, j)] = min(i, j)
+    for i in range(n):  # a parent is less than its row
+        parent[i] = parent[parent[i]]
+    return parent
+
+
+def cluster_blocks(df: DataFrame, *, vec_id: str, vector: str, block: str, similarity: float | None = None, k: int | None = None, matrix: int = 5000) -> DataFrame:
+    """(block, id, cluster): agglomerative clusters within each block, each named by its least id.
+
+    With `similarity` s complete linkage up to the euclidean distance 1 - s, which is a cosine of 1 - (1 - s)^2 / 2; with `k` Ward's method to k clusters (as many as there are different
+    vectors, if these are fewer). Equal vectors of a block are one row with a weight, however many there are. A block's different vectors go to one task; up to `matrix` of them are clustered
+    by the matrix of their distances, and more by chains of nearest neighbours, in memory of the rows and time of their square."""
     kind = df.schema[block].dataType.simpleString()
     rows = df.select(F.col(block).alias("block"), F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    hashed = rows.withColumn("h", F.sha2(F.to_json(F.struct("block", "v")), 256))
+    reps = hashed.groupBy("h").agg(F.min_by(F.struct("block", "id", "v"), "id").alias("r"), F.count(F.lit(1)).alias("n")).select("r.*", "h", "n")
 
     def run(pdf):
         import pandas as pd
 
-        if len(pdf) > most:
-            raise ValueError(f"a block of {len(pdf)} rows; cluster more coarsely first")
         pdf = pdf.sort_values("id")
         m = np.array(pdf["v"].tolist(), np.float64)
         nrm = np.linalg.norm(m, axis=1, keepdims=True)
-        labels = _linkage(m / np.where(nrm == 0, 1, nrm), k, None if similarity is None else 1 - similarity, "ward" if k else "complete")
-        ids = pdf["id"].to_numpy()
-        return pd.DataFrame({"block": pdf["block"].to_numpy(), "id": ids, "cluster": ids[labels]})
+        labels = (_linkage if len(m) <= matrix else _chained_linkage)(m / np.where(nrm == 0, 1, nrm), k, None if similarity is None else 1 - similarity, "ward" if k else "complete", pdf["n"].to_numpy())
+        return pd.DataFrame({"h": pdf["h"].to_numpy(), "cluster": pdf["id"].to_numpy()[labels]})
 
-    return rows.groupBy("block").applyInPandas(run, f"block {kind}, id bigint, cluster bigint")
+    found = reps.groupBy("block").applyInPandas(run, "h string, cluster bigint")
+    return hashed.join(found, "h").select(F.col("block").cast(kind).alias("block"), "id", "cluster")
 
 
 def coarse_cells(df: DataFrame, *, vec_id: str, vector: str, k: int, seed: int = 42) -> DataFrame:

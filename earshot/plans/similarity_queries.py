@@ -42,8 +42,8 @@ def links(spark, folder):
 
 @REGISTRY.add("CL1_agglomerative")
 def cl1(spark, folder):
-    cells = sm.coarse_cells(table(spark, folder, "embeddings"), k=10, **_K)
-    return sm.cluster_blocks(cells, vec_id="id", vector="v", block="cell", k=4)
+    """One agglomeration over all rows."""
+    return sm.cluster_blocks(table(spark, folder, "embeddings").withColumn("cell", F.lit(0)), block="cell", k=4, **_K)
 
 
 @REGISTRY.add("CL3_adaptive_selection")

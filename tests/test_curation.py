@@ -154,6 +154,32 @@ def test_linkage_merges_the_nearest_two_of_all(kw):
     assert sorted(sorted(np.flatnonzero(got == c).tolist()) for c in set(got)) == sorted(sorted(g) for g in groups)
 
 
+@pytest.mark.parametrize("kw", [{"k": 9}, {"similarity": 0.3}])
+def test_large_blocks_and_copies(spark, kw):
+    """Blocks beyond the matrix, and copies as rows with a weight, give the clusters of all rows by the matrix."""
+    r = np.random.default_rng(8)
+    x = r.standard_normal((250, 4))
+    v = np.concatenate([x, x[:5].repeat(30, axis=0)])
+    m = v / np.linalg.norm(v, axis=1, keepdims=True)
+    d = None if "k" in kw else 0.7
+    labels = sm._linkage(m, kw.get("k"), d, "ward" if d is None else "complete")
+    want = sorted(sorted(np.flatnonzero(labels == c).tolist()) for c in set(labels))
+    df = spark.createDataFrame([(i, 0, y.tolist()) for i, y in enumerate(v)], "id bigint, g int, v array<double>")
+    for matrix in (1000, 10):
+        groups: dict[int, list[int]] = {}
+        for y in sm.cluster_blocks(df, vec_id="id", vector="v", block="g", matrix=matrix, **kw).collect():
+            groups.setdefault(y.cluster, []).append(y.id)
+        assert sorted(map(sorted, groups.values())) == want and all(c == min(g) for c, g in groups.items())
+
+
+def test_agglomerative_query_is_one_agglomeration(spark, tmp_path):
+    from earshot.plans.similarity_queries import REGISTRY
+
+    v = np.random.default_rng(9).standard_normal((80, 4)).astype(np.float32)
+    spark.createDataFrame([(i, "a", y.tolist()) for i, y in enumerate(v)], "vec_id bigint, label string, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert len({(x.block, x.cluster) for x in REGISTRY.queries["CL1_agglomerative"](spark, str(tmp_path)).collect()}) == 4
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "b a")], "id int, t string")
     got = {r.id: r.vector for r in sm.vectors(df, keep=["id"], payload="t", model=sm.hashed_words(8), width=8).collect()}
