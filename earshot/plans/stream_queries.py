@@ -14,7 +14,7 @@ from earshot.operators import ordered as od, scores as sc, splitting as sp
 from earshot.plans.aggregate_queries import R, records
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import HOURS, S, grid_sql, r6, stream
-from earshot.session import workspace
+from earshot.session import cut, workspace
 from earshot.sources import audio, store
 from earshot.sources.tables import table
 from earshot.streaming import folds as st
@@ -202,37 +202,39 @@ def qg10(spark, folder):
     return fit_temperature(stream(spark, folder))
 
 
-def fit_temperature(scores: DataFrame, low: float = 0.1, high: float = 10.0, steps: int = 30) -> DataFrame:
-    """(temperature, nll, accepted): golden-section search over the histogram of logits, kept on the driver as at most 4,096 bins of mean logits; accepted if ECE improves."""
-    import math
+def fit_temperature(scores: DataFrame, low: float = 0.1, high: float = 10.0, points: int = 33, passes: int = 6) -> DataFrame:
+    """(temperature, nll, accepted): the temperature from `low` to `high` of the least mean log loss; accepted if ECE improves. Rows without a score or label take no part.
 
-    b = scores.select("y", F.greatest(F.lit(1e-7), F.least(F.lit(1 - 1e-7), F.col("score"))).alias("p")).groupBy(F.floor(F.col("p") * 4095).alias("b")).agg(F.avg(F.log(F.col("p") / (1 - F.col("p")))).alias("z"), F.count_if(F.col("y") == 1).alias("pos"), F.count(F.lit(1)).alias("n")).collect()
+    All sums are exact over the distinct scores, and only they reach the driver: each pass tries `points` temperatures, evenly spaced by their logarithm, between the neighbours of the last
+    pass's best. Probabilities are held within 1e-7 of 0 and 1, before scaling and in the loss."""
+    import math
 
-    def sig(x: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
+    most = 1 - 1e-7
+    held = lambda p: F.greatest(F.lit(1e-7), F.least(F.lit(most), p))
+    h = cut(sc.histogram(scores.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("y").isNotNull()).select("y", F.col("score").cast("double").alias("score"))), "scores")
+    h = h.withColumn("z", F.log(held(F.col("score")) / (1 - held(F.col("score")))))
+    scaled = lambda t: 1 / (1 + F.exp(-F.col("z") / F.lit(t)))
+    n = h.agg(F.coalesce(F.sum(F.col("pos") + F.col("neg")), F.lit(0))).first()[0]
 
-    def nll(t: float) -> float:
-        return -sum(r["pos"] * math.log(max(1e-12, sig(r["z"] / t))) + (r["n"] - r["pos"]) * math.log(max(1e-12, 1 - sig(r["z"] / t))) for r in b) / max(1, sum(r["n"] for r in b))
+    def nll(temperatures: list[float]) -> list[float]:
+        loss = lambda p: F.coalesce(-F.sum(F.col("pos") * F.log(p) + F.col("neg") * F.log(1 - p)), F.lit(0.0))
+        return [x / max(1, n) for x in h.agg(*[loss(held(scaled(t))).alias(f"t{i}") for i, t in enumerate(temperatures)]).first()]
 
-    def ece(t: float) -> float:
-        bins: dict[int, list[float]] = {}
-        for r in b:
-            x = bins.setdefault(min(14, int(sig(r["z"] / t) * 15)), [0.0, 0.0, 0.0])
-            x[0] += sig(r["z"] / t) * r["n"]
-            x[1] += r["pos"]
-            x[2] += r["n"]
-        return sum(abs(p - y) for p, y, _ in bins.values()) / max(1, sum(n for _, _, n in bins.values()))
+    def ece(p) -> float:
+        bin_ = sum((p >= F.lit(i * (1 / 15))).cast("int") for i in range(1, 15))
+        gap = F.sum(p * (F.col("pos") + F.col("neg"))) - F.sum("pos")
+        return sum(abs(r["gap"]) for r in h.groupBy(bin_.alias("bin")).agg(gap.alias("gap")).collect()) / max(1, n)
 
-    g = (math.sqrt(5) - 1) / 2
     lo, hi = math.log(low), math.log(high)
-    for _ in range(steps):
-        x, y = hi - g * (hi - lo), lo + g * (hi - lo)
-        if nll(math.exp(x)) <= nll(math.exp(y)):
-            hi = y
-        else:
-            lo = x
-    t = math.exp((lo + hi) / 2)
-    return scores.sparkSession.createDataFrame([(t, nll(t), ece(t) < ece(1.0))], "temperature double, nll double, accepted boolean")
+    for _ in range(passes):
+        at = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
+        losses = nll([math.exp(x) for x in at])
+        i = losses.index(min(losses))
+        lo, hi = at[max(0, i - 1)], at[min(points - 1, i + 1)]
+    t, loss = math.exp(at[i]), losses[i]
+    # A temperature of one leaves the scores as they are.
+    accepted = abs(t - 1) >= 1e-6 and ece(scaled(t)) < ece(F.col("score"))
+    return scores.sparkSession.createDataFrame([(t, loss, accepted)], "temperature double, nll double, accepted boolean")
 
 
 @REGISTRY.add("QG12_candidate_evaluation", f"WITH {S}, {grid_sql(101)}, h AS (SELECT count(*) * 1500 / 3600000.0::DOUBLE AS hours FROM s WHERE y = 0) SELECT threshold, recall, fp / hours AS fah FROM ra, h WHERE fp / hours <= 100 ORDER BY recall DESC, fp, k LIMIT 1")

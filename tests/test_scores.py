@@ -149,3 +149,37 @@ def test_bootstrap_covers_the_point(spark):
     point = one(sc.binary_metrics(sc.confusion(scored(spark, y, s), 0.5))).recall
     b = {x.metric: x for x in sc.bootstrap(scored(spark, y, s), 60, 0.5).collect()}
     assert b["recall"].low <= point <= b["recall"].high and rows(sc.bootstrap(scored(spark, y, s), 60, 0.5)) == rows(sc.bootstrap(scored(spark, y, s), 60, 0.5))
+
+
+def test_temperature_of_saturated_scores(spark):
+    """The fit of the reference on all rows, most of which are within 2.4e-4 of 0 or 1."""
+    from earshot.plans.stream_queries import fit_temperature
+
+    r = np.random.default_rng(3)
+    z = r.choice([-1, 1], 600) * r.uniform(4, 18, 600)
+    p = 1 / (1 + np.exp(-z))
+    y = (r.random(600) < 1 / (1 + np.exp(-z / 3.3))).astype(int)
+    logit = lambda q: np.log(np.clip(q, 1e-7, 1 - 1e-7) / (1 - np.clip(q, 1e-7, 1 - 1e-7)))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def nll(t):
+        s = np.clip(sigmoid(logit(p) / t), 1e-7, 1 - 1e-7)
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    def ece(q):
+        edges = np.linspace(0, 1, 16)
+        bins = [(q >= edges[i]) & ((q < edges[i + 1]) | (i == 14)) for i in range(15)]
+        return sum(abs(q[b].sum() - y[b].sum()) for b in bins) / len(q)
+
+    lo, hi = 0.1, 10.0
+    for _ in range(8):
+        grid = np.linspace(lo, hi, 201)
+        at = int(np.argmin([nll(t) for t in grid]))
+        lo, hi = grid[max(0, at - 1)], grid[min(200, at + 1)]
+    best = grid[at]
+    df = spark.createDataFrame([*zip(p.tolist(), y.tolist()), (None, 1)], "score double, y int")
+    (got,) = fit_temperature(df).collect()
+    assert got.temperature == pytest.approx(best, rel=1e-5) and got.nll == pytest.approx(nll(best), rel=1e-9)
+    assert got.accepted == (ece(sigmoid(logit(p) / best)) < ece(p))
+    (none,) = fit_temperature(df.limit(0)).collect()
+    assert none.nll == 0 and not none.accepted
