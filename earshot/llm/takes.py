@@ -85,6 +85,11 @@ def slip(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or (a[i : i + 2] == b[i : i + 2][::-1] and a[i + 2 :] == b[i + 2 :])
 
 
+def mistyped(n: int, m: int) -> bool:
+    """Whether of two phrases one slip apart, of n and m speaker and day sessions, one is a slip and not in use itself: it's found in one session only, or in an eighth of the other's."""
+    return min(n, m) == 1 or min(n, m) * 8 <= max(n, m)
+
+
 def covered(intervals: list[tuple[int, int]]) -> int:
     """Letters under merged half-open intervals."""
     total, end = 0, -1
@@ -157,7 +162,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 elif key[0] == "u":
                     # Only a phrase may slip, and not into another that is in use.
-                    if k.rpartition("|")[0] == key.rpartition("|")[0] and min(n, m) * 8 <= max(n, m):
+                    if k.rpartition("|")[0] == key.rpartition("|")[0] and mistyped(n, m):
                         out.append((k, key))
                 elif route[0] == _route_kind(k[2:], key[2:]) and (s is None or speaker is None or s == speaker) and (d is None or day is None or d == day):
                     out.append((k, key))
@@ -167,13 +172,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def matching_sessions(sessions: DataFrame) -> DataFrame:
     """(evaluation, train): the pairs of session keys whose rows may be one take.
 
-    Sessions are sharded by parts of their code, three keys each, of which two codes of one slip share one; sessions without a code by speaker and day. A shard's evaluation passages make
+    Sessions are sharded by parts of their code, three keys each, of which two codes of one slip share one; sessions without a code by speaker and day. How far a phrase is in use is counted in sessions, so copies of a mistyped clip don't make its spelling a phrase. A shard's evaluation passages make
     an automaton, and every train text of the shard is scanned by it. A session is one text however many rows it has, so a hot one is no load. The pairs are distinct."""
     code = F.substr("key", F.lit(3))
     shards = F.array(F.concat(F.lit("<"), F.left(code, F.lit(4))), F.concat(F.lit(">"), F.right(code, F.lit(4))), F.concat(F.lit("="), F.left(code, F.lit(3)), F.right(code, F.lit(3))))
     is_coded = F.col("key").startswith("c")
     plain = sessions.where(~is_coded).withColumn("phrase", F.substring_index("key", "|", -1))
-    counts = plain.groupBy(F.col("phrase").alias("_phrase")).agg(F.sum("n").alias("n_phrase"))
+    counts = plain.groupBy(F.col("phrase").alias("_phrase")).agg(F.count(F.lit(1)).alias("n_phrase"))
     columns = ["route", "key", "speaker", "day", "n_phrase", "has_eval", "has_train"]
     both = sessions.where(is_coded).withColumn("route", F.explode(shards)).withColumn("n_phrase", F.lit(0).cast("bigint")).select(*columns)
     both = both.unionByName(plain.join(counts, F.col("phrase") == F.col("_phrase")).withColumn("route", F.substring_index("key", "|", 3)).select(*columns))
@@ -185,7 +190,7 @@ def overlapping_takes(records: DataFrame) -> DataFrame:
     """(row_id_train, row_id_eval, split): all pairs of a train row with a validation or test row that are the same take.
 
     Rows are one take if their take numbers are equal, no two known speakers differ, and their sessions match: the same code, or one slip away with the same phrase and nothing known that
-    differs; without a code the same speaker, day folder and phrase, the phrase up to a slip that is no other phrase in use. Repeated rows pair like others; rows without a split, take
+    differs; without a code the same speaker, day folder and phrase, the phrase up to a slip that is no other phrase in use (`mistyped`). Repeated rows pair like others; rows without a split, take
     or session pair with none, and an empty table gives no pairs. Paths are read whole however long, and columns other than the four named play no part. All pairs of a session's take are returned, as they are the result wanted; the join splits a hot session."""
     takes = cut(slim(parsed_takes(records)), "takes")
     pairs = cut(matching_sessions(sessions_of(takes)), "sessions")

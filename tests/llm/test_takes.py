@@ -67,6 +67,15 @@ def test_slips_of_phrases(spark):
     assert {(r.row_id_train, r.row_id_eval) for r in overlapping_takes(frame(spark, data + filler)).collect()} == {(0, 2)}
 
 
+def test_copies_of_a_slip_and_phrases_of_few_sessions(spark):
+    day = "/d/positive/r/spk_000000005/d20230301/"
+    filed_again = [(day + "okay_malro_t001.wav", "test", None)] * 30
+    data = [(day + "okay_marlo_t001.wav", "train", None), *filed_again, (day + "rare_words_t002.wav", "val", None), (day + "rare_wrods_t002.wav", "train", None)]
+    filler = [(f"/d/positive/r/spk_{i:09d}/d20230301/{p}_t001.wav", "train", None) for p, n in (("okay_marlo", 40), ("rare_words", 2)) for i in range(100, 100 + n)]
+    want = {(0, i) for i in range(1, 31)} | {(32, 31)}
+    assert {(r.row_id_train, r.row_id_eval) for r in overlapping_takes(frame(spark, data + filler)).collect()} == want
+
+
 def test_empty_repeated_and_clashing(spark):
     assert overlapping_takes(frame(spark, CASES).limit(0)).count() == 0
     from pyspark.sql import functions as F
