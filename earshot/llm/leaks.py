@@ -60,13 +60,14 @@ class Passages:
         import ahocorasick
 
         self.run, self.table, seed = run, table, run // 2
-        self.words: dict[int, list[str]] = {}
+        self.words: list[list[str]] = []  # by the item's row, as an id may have several texts
+        self.ids = [item for item, _ in items]
         owners: dict[str, list[tuple[int, int]]] = {}
-        for item, text in items:
+        for row, (_, text) in enumerate(items):
             words = [w for w in (letters(x, table) for x in (_TAG.sub(" ", text) if "<" in text else text).split()) if w]
-            self.words[item] = words
+            self.words.append(words)
             for i in range(len(words) - seed + 1 if len(words) >= run else 0):
-                owners.setdefault("".join(words[i : i + seed]), []).append((item, i))
+                owners.setdefault("".join(words[i : i + seed]), []).append((row, i))
         self.seed, self.any = seed, bool(owners)
         self.automaton = ahocorasick.Automaton()
         for pattern, of in owners.items():
@@ -86,13 +87,14 @@ class Passages:
         best: dict[int, tuple[int, int, int]] = {}
         done: dict[tuple[int, int], int] = {}
         for end, (n, of) in self.automaton.iter(doc):
-            for item, i in of:
+            for row, i in of:
                 s, e = end + 1 - n, end + 1
-                diagonal = (item, i - bisect_right(starts, s))
+                diagonal = (row, i - bisect_right(starts, s))
                 if e <= done.get(diagonal, -1):
                     continue
-                length, a, b, reach = self._longest(self.words[item], doc, starts, edges, i, s, e)
+                length, a, b, reach = self._longest(self.words[row], doc, starts, edges, i, s, e)
                 done[diagonal] = reach
+                item = self.ids[row]
                 if length >= self.run and length > best.get(item, (0,))[0]:
                     best[item] = (length, at[a], at[b - 1] + 1)
         return [(item, *x) for item, x in sorted(best.items())]

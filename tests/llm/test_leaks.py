@@ -79,6 +79,12 @@ def test_mapped_letters_are_letters_apart_from_broken_markup(s):
     assert len(doc) == len(at) and starts[0] == 0 and starts[-1] == len(doc) and at == sorted(at)
 
 
+def test_every_text_of_a_repeated_id_counts():
+    index = Passages([(7, ITEMS[0][1]), (7, " ".join(words(1, 0, 20)))], 16, T)
+    for i, n in ((0, 45), (1, 20)):
+        assert [h[:2] for h in index.find(f"{FILL} {' '.join(words(i, 0, n))} {FILL}")] == [(7, n)]
+
+
 def test_tables(spark):
     docs = spark.createDataFrame([(1, ITEMS[0][1]), (1, ITEMS[0][1]), (2, None), (3, ""), (4, FILL * 3000), (5, FILL + " " + ITEMS[1][1] + " " + ITEMS[2][1]), (None, ITEMS[3][1])], "doc_id bigint, text string")
     items = spark.createDataFrame([*ITEMS, (99, "too short to count"), (None, ITEMS[0][1]), (98, None)], "item_id bigint, text string")
