@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ from earshot.llm.cutoffs import bounded
 
 _DROP = re.compile("[^a-z0-9]+")
 _TAG = re.compile(r"<[^<>]{1,300}>")
+_WITHIN = set("-_'\u2019\u2010\u2011")  # marks of which one alone may stand within a word
 _PIECE = re.compile(r"<[^<>]{1,300}>|&(?:#[0-9]{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});|-[ \t]*\r?\n[ \t>]*|.", re.S | re.I)
 
 
@@ -29,8 +31,13 @@ def letters(text: str, table: dict) -> str:
 
 def mapped(text: str, table: dict) -> tuple[str, list[int], list[int]]:
     """(`letters`, the offset in the text of each letter, the positions among the letters at which a word starts)."""
-    out, at, starts = [], [], [0]
-    gap = False
+    return mapped_edges(text, table)[:3]
+
+
+def mapped_edges(text: str, table: dict) -> tuple[str, list[int], list[int], set[int]]:
+    """`mapped` and the positions at which a word may start or end: its starts, and where punctuation stands between letters, other than a hyphen, apostrophe or underscore alone."""
+    out, at, starts, edges = [], [], [0], {0}
+    gap, marks = False, ""
     for m in _PIECE.finditer(text):
         piece = m.group()
         if len(piece) > 1:
@@ -42,13 +49,18 @@ def mapped(text: str, table: dict) -> tuple[str, list[int], list[int]]:
             if "a" <= ch <= "z" or "0" <= ch <= "9":
                 if gap and out:
                     starts.append(len(out))
-                gap = False
+                if gap or (marks and marks not in _WITHIN):
+                    edges.add(len(out))
+                gap, marks = False, ""
                 out.append(ch)
                 at.append(m.start())
             elif ch.isspace():
                 gap = True
+            elif unicodedata.category(ch)[0] in "PS":
+                marks += ch
     starts.append(len(out))
-    return "".join(out), at, starts
+    edges.add(len(out))
+    return "".join(out), at, starts, edges
 
 
 class Passages:
@@ -82,8 +94,7 @@ class Passages:
         hits = list(self.automaton.iter(letters(text, self.table)))
         if not hits:
             return []
-        doc, at, starts = mapped(text, self.table)
-        edges = set(starts)
+        doc, at, starts, edges = mapped_edges(text, self.table)
         best: dict[int, tuple[int, int, int]] = {}
         done: dict[tuple[int, int], int] = {}
         for end, (n, of) in self.automaton.iter(doc):
@@ -141,7 +152,7 @@ class Passages:
 
 def leaked_passages(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", run: int = 16, most_items: int = 100_000) -> DataFrame:
     """(doc_id, item_id, n_words, start, end): every document that holds a run of at least `run` words of an item, in order, of which at most one in `run` is altered, left out or has a
-    word put in beside it; n_words is the longest such run found with one slip, start and end are its offsets in the original text.
+    word put in beside it; n_words is the longest such run found with one slip, start and end are its offsets in the original text. A slip has words as they are on both sides: a run whose first or last word is altered ends before it, so of sixteen words such a one holds fifteen.
 
     Each text is scanned once and whole; case, punctuation, spacing, markup, look-alikes and unseen characters play no part. items: at most `most_items` rows, as the automaton goes to every
     executor; null ids and texts are left out, of repeated ids every text counts, and items of fewer than `run` words hold no passage. Null and empty texts have none. Repeated documents give

@@ -6,7 +6,7 @@ from conftest import rows
 from hypothesis import given, settings, strategies as hs
 
 from earshot.functions.text import plain_table
-from earshot.llm.leaks import Passages, leaked_passages, letters, mapped
+from earshot.llm.leaks import Passages, leaked_passages, letters, mapped, mapped_edges
 
 T = plain_table()
 R = random.Random(7)
@@ -79,6 +79,26 @@ def test_mapped_letters_are_letters_apart_from_broken_markup(s):
     assert len(doc) == len(at) and starts[0] == 0 and starts[-1] == len(doc) and at == sorted(at)
 
 
+def test_punctuation_without_blanks_is_an_edge():
+    w = " ".join(words(2, 7, 23))
+    for f in ('{"q":"%s","a":1}', "cell|%s|next|", "see:%s.Then", "(%s)etc"):
+        assert hit(f % w) == {2}, f
+    assert mapped_edges("self-made don't_do.it", T)[3] == {0, 8, 14, 16}
+
+
+def test_slips_at_the_ends_of_sixteen():
+    for at in (0, 15):
+        w = words(5, 10, 26)
+        w[at] = "qqqq"
+        assert not hit(f"{FILL} {' '.join(w)} {FILL}")
+        w = words(5, 10, 26)
+        w.insert(at, "qqqq")
+        assert hit(f"{FILL} {' '.join(w)} {FILL}") == {5}
+        w = words(5, 10, 27)
+        del w[at]
+        assert hit(f"{FILL} {' '.join(w)} {FILL}") == {5}
+
+
 def test_every_text_of_a_repeated_id_counts():
     index = Passages([(7, ITEMS[0][1]), (7, " ".join(words(1, 0, 20)))], 16, T)
     for i, n in ((0, 45), (1, 20)):
