@@ -129,7 +129,7 @@ def pf19(spark, folder):
     """Steps in order, each taken with its probability by a hash of row and step: gain, drive, mask, shift."""
     e = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("a"))
     u = lambda step: F.pmod(F.xxhash64("vec_id", F.lit(step), F.lit(42)), F.lit(1_000_003)) / 1_000_003.0
-    steps = (("gain", 0.5, lambda a: F.transform(a, lambda v: (v * 1.5).cast("float"))), ("drive", 0.3, lambda a: F.transform(a, lambda v: F.tanh(v * 2).cast("float"))), ("mask", 0.4, lambda a: ar.masked(a, F.lit(10), F.lit(20))), ("shift", 0.2, lambda a: F.concat(F.slice(a, 9, 1000), F.slice(a, 1, 8))))
+    steps = (("gain", 0.5, lambda a: F.transform(a, lambda v: (v * 1.5).cast("float"))), ("drive", 0.3, lambda a: F.transform(a, lambda v: F.tanh(v * 2).cast("float"))), ("mask", 0.4, lambda a: ar.masked(a, F.lit(10), F.lit(20))), ("shift", 0.2, lambda a: F.concat(F.slice(a, F.lit(9), F.size(a)), F.slice(a, 1, 8))))
     for name, p, f in steps:
         e = e.withColumn("a", F.when(u(name) < p, f(F.col("a"))).otherwise(F.col("a")))
     return _sums(e, F.col("a"), "vec_id")

@@ -176,7 +176,7 @@ def compaction(spark, folder):
     """The first 8 values and then only the frames of 8 that are loud enough; a shorter tail is dropped."""
     loud = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + F.abs(v)) > 0.8
     e = table(spark, folder, "embeddings")
-    kept = F.concat(F.slice("embedding", 1, 8), F.flatten(F.filter(od.chunks(F.slice(F.col("embedding"), 9, 1000), 8), loud)))
+    kept = F.concat(F.slice("embedding", 1, 8), F.flatten(F.filter(od.chunks(F.slice(F.col("embedding"), F.lit(9), F.size("embedding")), 8), loud)))
     return e.select("vec_id", F.size(kept).alias("size"))
 
 

@@ -180,6 +180,15 @@ def test_agglomerative_query_is_one_agglomeration(spark, tmp_path):
     assert len({(x.block, x.cluster) for x in REGISTRY.queries["CL1_agglomerative"](spark, str(tmp_path)).collect()}) == 4
 
 
+def test_long_arrays_are_read_whole(spark, tmp_path):
+    from earshot.plans.filter_queries import REGISTRY as filters
+    from earshot.plans.window_queries import REGISTRY as windows
+
+    spark.createDataFrame([(i, [1.0] * 1000 + [float(i + 2)] * 1000) for i in range(60)], "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert {x.size for x in windows.queries["WN20_silence_compaction"](spark, str(tmp_path)).collect()} == {2000}
+    assert {x.size for x in filters.queries["PF19_transform_chain"](spark, str(tmp_path)).collect()} == {2000}
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "b a")], "id int, t string")
     got = {r.id: r.vector for r in sm.vectors(df, keep=["id"], payload="t", model=sm.hashed_words(8), width=8).collect()}
