@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from earshot.functions.text import folded_py, plain_table
 from earshot.llm.cutoffs import bounded
+from earshot.llm.markup import ENTITY_PATTERN, TAG, TAG_PATTERN
 
 _DROP = re.compile("[^a-z0-9]+")
-_TAG = re.compile(r"<[^<>]{1,300}>")
 _WITHIN = set("-_'\u2019\u2010\u2011")  # marks of which one alone may stand within a word
-_PIECE = re.compile(r"<[^<>]{1,300}>|&(?:#[0-9]{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});|-[ \t]*\r?\n[ \t>]*|.", re.S | re.I)
+_PIECE = re.compile(rf"{TAG_PATTERN}|{ENTITY_PATTERN}|-[ \t]*+\r?\n[ \t>]*+|.", re.S | re.I)
 
 
 def letters(text: str, table: dict) -> str:
     """The text's letters and digits only: no case, blanks, punctuation, markup, accents, look-alikes or unseen characters."""
     if "<" in text:
-        text = _TAG.sub(" ", text)
+        text = TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
     return _DROP.sub("", folded_py(text, table).lower())
@@ -76,7 +76,7 @@ class Passages:
         self.ids = [item for item, _ in items]
         owners: dict[str, list[tuple[int, int]]] = {}
         for row, (_, text) in enumerate(items):
-            words = [w for w in (letters(x, table) for x in (_TAG.sub(" ", text) if "<" in text else text).split()) if w]
+            words = [w for w in (letters(x, table) for x in (TAG.sub(" ", text) if "<" in text else text).split()) if w]
             self.words.append(words)
             for i in range(len(words) - seed + 1 if len(words) >= run else 0):
                 owners.setdefault("".join(words[i : i + seed]), []).append((row, i))

@@ -66,6 +66,15 @@ def test_disguises():
         assert hit(f"{FILL}! {f} {FILL}") == {3}, f
 
 
+def test_markup_of_any_length():
+    for n in (250, 301, 10_000):
+        tag = f'<a href="{"x" * n}" title="5 > 3">'
+        w = words(3, 5, 21)
+        assert hit(f"{FILL} {' '.join(w[:8])} {tag}{' '.join(w[8:])}</a> {FILL}") == {3}
+        assert not hit(f'{FILL} <img alt="{"z" * n} {" ".join(w)}"> {FILL}')
+    assert hit(" ".join(words(3, 5, 13)) + " < " + " ".join(words(3, 13, 25)) + " > 3") == {3}  # no markup
+
+
 def test_offsets_point_into_the_original():
     text = f"<i>{FILL}</i> – " + " ".join(x.upper() for x in words(4, 3, 23)) + " … end"
     (item, n, a, b), = INDEX.find(text)
