@@ -1,33 +1,36 @@
-"""Problem 7: abusive, hateful or sexual language, tagged by a linear-chain conditional random field."""
+"""Problem 7: abusive, hateful or sexual language, tagged by a linear-chain conditional random field. `toxicity_fit` learns it."""
 
 from __future__ import annotations
 
 import html
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from earshot.functions.text import folded_py, plain_table
-from earshot.llm import toxicity_words as words
+from earshot.llm.markup import ENTITY_PATTERN, TAG, TAG_PATTERN
+from earshot.worker import kept
 
-_TAG = re.compile(r"<[^<>]{1,300}>")
-_PIECE = re.compile(r"<[^<>]{1,300}>|&(?:#[0-9]{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});|.", re.S | re.I)
+_PIECE = re.compile(rf"{TAG_PATTERN}|{ENTITY_PATTERN}|.", re.S | re.I)
 # Letters set apart by one and the same sign, as in "s.e.t": three or more of them.
 _APART = re.compile(r"(?<![a-z0-9@$])[a-z0-9@$](?:([ ._*-])[a-z0-9@$](?:\1[a-z0-9@$])+)(?![a-z0-9@$])")
 _WORD = re.compile(r"[a-z0-9_@$€*]+(?:[!|+'’][a-z0-9_@$€*]+)*|[.!?]+(?=\s|$)|\n|:(?=\s)|;")
 _SIGN = re.compile(r"[0-9@$€*!|+]")
-FLAGS = ("strong", "weak", "address", "group")
-SEGMENT = ("bias", "strong", "weak and address", "weak and group", "weak only", "two weak", "two strong", "group", "disguised", "short")
+# What stands for letters in disguised words.
+STANDS_FOR = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "€": "e"}
+BOUND = 0  # the type of all boundaries
 
 
 def tidy(text: str, table: dict) -> str:
     """Lower case without markup, look-alikes and unseen characters, letters that were set apart joined again."""
     if "<" in text:
-        text = _TAG.sub(" ", text)
+        text = TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
     return _APART.sub(_joined, folded_py(text, table).lower())
@@ -60,28 +63,33 @@ def tidy_mapped(text: str, table: dict) -> tuple[str, list[int]]:
     return "".join(t) + s[done:], where + at[done:]
 
 
-class Lexicon:
-    """Which flags a word has in any of the readings of its spelling."""
+class Word(NamedTuple):
+    """What a token is read as, whether its spelling hides that, and whether a given list has it."""
+
+    reading: str
+    hidden: bool
+    listed: bool
+
+
+class Speller:
+    """Reads tokens. Of the readings of a spelling the first counts that is among the words `known` to tell, or on a given list, where a trailing * stands for any ending."""
+
+    def __init__(self, known: frozenset[str], listed: frozenset[str] = frozenset()) -> None:
+        self.known = known
+        self.exact = {w for w in listed if not w.endswith("*")}
+        self.stems = {w.rstrip("*") for w in listed if w.endswith("*")}
+        self.longest = max(map(len, self.stems), default=0)
+        self.long = sorted(w for w in {*known, *self.exact, *self.stems} if len(w) >= 4)
+        self.table = str.maketrans(STANDS_FOR)
 
-    def __init__(self) -> None:
-        self.exact: dict[str, int] = {}
-        self.stems: dict[str, int] = {}
-        for bit, group in enumerate((words.STRONG, words.WEAK, words.ADDRESS, words.GROUPS)):
-            for w in group:
-                to = self.stems if w.endswith("*") else self.exact
-                to[w.rstrip("*")] = to.get(w.rstrip("*"), 0) | 1 << bit
-        self.longest = max(map(len, self.stems))
-        self.masked = [w for w in {*self.exact, *self.stems} if len(w) >= 4]
-        self.table = str.maketrans(words.STANDS_FOR)
+    def listed(self, w: str) -> bool:
+        return w in self.exact or any(w[:n] in self.stems for n in range(1, min(len(w), self.longest) + 1))
 
-    def plain(self, w: str) -> int:
-        f = self.exact.get(w, 0)
-        for n in range(3, min(len(w), self.longest) + 1):
-            f |= self.stems.get(w[:n], 0)
-        return f
+    def telling(self, w: str) -> bool:
+        return w in self.known or self.listed(w)
 
     def readings(self, token: str) -> list[str]:
-        """A token's readings: as written, with signs and digits read as letters, with runs of a letter shortened."""
+        """As written, with signs and digits read as letters, with runs of a letter shortened."""
         out = [token.replace("'", "").replace("’", "").strip("_*")]
         if _SIGN.search(token) and any(ch.isalpha() for ch in token):
             t = token.replace("'", "")
@@ -89,50 +97,47 @@ class Lexicon:
         for w in list(out):
             if re.search(r"(.)\1", w):
                 out += [re.sub(r"(.)\1{2,}", r"\1", w), re.sub(r"(.)\1+", r"\1", w) if len(w) >= 6 else w, re.sub(r"(.)\1{2,}", r"\1\1", w)]
-        if len(token) >= 6 and token[0] in "ai" and (token[1:] in self.exact or self.plain(token[1:]) & 1):
+        if len(token) >= 6 and token[0] in "ai" and self.telling(token[1:]):
             out.append(token[1:])  # an article that was drawn in with letters set apart
         return list(dict.fromkeys(out))
 
-    def look_up(self, token: str) -> tuple[str, int, bool]:
-        """(the reading that says most, its flags, whether the word was disguised)."""
-        best, flags, hidden = "", -1, False
-        for i, w in enumerate(self.readings(token)):
-            f = self.plain(w)
-            if f & 1 > max(flags, 0) & 1 or flags < 0 or (f and not flags):
-                best, flags, hidden = w, f, i > 0
-        if "*" in token.strip("*") and not flags & 1:
-            parts = re.compile(token.strip("_").replace("*", "[a-z]{1,3}"))
-            for w in self.masked:
-                m = parts.match(w) or re.match(re.escape(w[:2]) + r"\w*\*\w*", token) and parts.fullmatch(w)
-                if m and (m.end() == len(w) or w in self.stems):
-                    return w, self.plain(w), True
-            stem = token.split("*")[0]
-            if len(stem) >= 4 and self.plain(stem) & 1:
-                return stem, self.plain(stem), True
-        return best, max(flags, 0), hidden
-
-
-BOUND = 0  # the type of all boundaries
-
-
-def _features(reading: str, flags: int, hidden: bool, token: str) -> list[str]:
-    out = ["w=" + reading, "p=" + reading[:5]]
-    out += [f for i, f in enumerate(FLAGS) if flags >> i & 1]
-    if hidden and flags & 3:
-        out.append("hidden")
-    return out
+    def read(self, token: str) -> Word:
+        readings = self.readings(token)
+        for i, w in enumerate(readings):
+            if self.telling(w):
+                return Word(w, i > 0, self.listed(w))
+        if "*" in token.strip("*"):
+            stands = re.compile(token.strip("_").replace("*", "[a-z]{1,3}"))
+            for w in self.long:
+                if stands.fullmatch(w):
+                    return Word(w, True, self.listed(w))
+        signs = len(readings) > 1 and _SIGN.search(token) is not None
+        return Word(readings[signs], signs, False)
+
+
+def features(word: Word) -> list[str]:
+    """A word's features: itself, its runs of three to five letters, whether it's disguised, whether it's on a given list."""
+    out = ["w=" + word.reading]
+    if len(word.reading) >= 4 and word.reading.isalpha():
+        s = f"^{word.reading}$"
+        out += [s[i : i + n] for n in (3, 4, 5) for i in range(len(s) - n + 1)]
+    return out + ["hidden"] * word.hidden + ["listed"] * word.listed
 
 
 @dataclass
 class Model:
-    """Weights by feature name for a word, the word before and the word behind, and for what its utterance holds; transitions; the score from which a document counts."""
+    """Learned weights: by feature for a word, by reading for the word before and the word behind, by pair of readings; the bias of label 1; of beginning with label 1, of going from label 0
+    to 1, from 1 to 0, and staying with 1 (staying with 0 has weight 0). `known`: the words by which disguises are read, as are those `listed`. A document counts from score `threshold` on."""
 
     own: dict[str, float] = field(default_factory=dict)
     before: dict[str, float] = field(default_factory=dict)
     behind: dict[str, float] = field(default_factory=dict)
-    segment: np.ndarray = field(default_factory=lambda: np.array([-6.0, 8.0, 4.0, 6.0, 0.5, 1.0, 1.0, 0.5, 3.0, 0.5]))
-    stay: tuple[float, float] = (1.0, 1.0)
-    threshold: float = 0.5
+    pair: dict[tuple[str, str], float] = field(default_factory=dict)
+    bias: float = -30.0
+    move: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
+    known: frozenset[str] = frozenset()
+    listed: frozenset[str] = frozenset()
+    threshold: float = 0.3
 
 
 class Tagger:
@@ -140,12 +145,20 @@ class Tagger:
 
     def __init__(self, model: Model, table: dict, most_types: int = 400_000) -> None:
         self.model, self.table, self.most = model, table, most_types
-        self.lexicon = Lexicon()
+        self.speller = Speller(model.known, model.listed)
+        self.numbers: dict[str, int] = {}
+        for pair in model.pair:
+            for w in pair:
+                self.numbers.setdefault(w, len(self.numbers) + 1)
+        self.base = len(self.numbers) + 1
+        keys = sorted((self.numbers[a] * self.base + self.numbers[b], x) for (a, b), x in model.pair.items())
+        self.pair_keys = np.array([k for k, _ in keys] + [self.base**2], np.int64)
+        self.pair_weights = np.array([x for _, x in keys] + [0.0])
         self._reset()
 
     def _reset(self) -> None:
         self.ids: dict[str, int] = {}
-        self.info: list[tuple[str, int, bool]] = [("", 0, False)]
+        self.words = [Word("", False, False)]
         self.rows: list[tuple[float, float, float, int]] = [(0.0, 0.0, 0.0, 0)]
 
     def type_of(self, token: str) -> int:
@@ -159,242 +172,101 @@ class Tagger:
         return i
 
     def _new(self, token: str) -> int:
-        reading, flags, hidden = self.lexicon.look_up(token) if token != "0" else ("0", 0, False)
-        names = _features(reading, flags, hidden, token)
-        m = self.model
-        self.info.append((reading, flags, hidden))
-        self.rows.append((sum(m.own.get(f, 0.0) for f in names), sum(m.before.get(f, 0.0) for f in names), sum(m.behind.get(f, 0.0) for f in names), flags | 16 * (hidden and flags & 3 > 0)))
+        word, m = self.speller.read(token) if token != "0" else Word("0", False, False), self.model
+        self.words.append(word)
+        self.rows.append((m.bias + sum(m.own.get(f, 0.0) for f in features(word)), m.before.get(word.reading, 0.0), m.behind.get(word.reading, 0.0), self.numbers.get(word.reading, 0)))
         self.ids[token] = len(self.rows) - 1
         return len(self.rows) - 1
 
-    def encode(self, tokens: list[str]) -> list[int]:
-        get, new = self.ids.get, self.type_of
-        return [new(t) if (i := get(t)) is None else i for t in tokens]
-
     def batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(type of each token, each text's first token), a boundary in front of each text and one at the end of all."""
         if len(self.rows) > self.most:
             self._reset()
-        ids, starts = [], []
+        ids, starts, get, new = [], [], self.ids.get, self.type_of
         for t in texts:
             starts.append(len(ids))
             ids.append(BOUND)
-            ids += self.encode(_WORD.findall(tidy(t, self.table)))
+            ids += [new(x) if (i := get(x)) is None else i for x in _WORD.findall(tidy(t, self.table))]
         ids.append(BOUND)
         return np.array(ids, np.int32), np.array(starts, np.int64)
 
-    def marginals(self, ids: np.ndarray) -> np.ndarray:
-        """The probability of each token to belong to such an utterance, by forward and backward passes over all utterances at once."""
+    def emission(self, ids: np.ndarray) -> np.ndarray:
+        """The log odds of label 1 by each token and its neighbours."""
         table = np.array(self.rows)
-        seg, _, lengths, firsts = segments(ids)
-        flags = table[:, 3].astype(np.int64)[ids]
-        score = segment_features(flags, seg, lengths, firsts) @ self.model.segment
-        u = table[ids, 0] + score[seg]
+        u = table[ids, 0]
         u[1:] += table[ids[:-1], 1]
         u[:-1] += table[ids[1:], 2]
-        return chain_marginals(u, ids != BOUND, self.model.stay)
-
-
-def segments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(segment of each token, boundary mask, words per segment, first token of each segment); a boundary begins a segment."""
-    bound = ids == BOUND
-    seg = np.cumsum(bound) - 1
-    firsts = np.flatnonzero(bound)
-    lengths = np.diff(np.append(firsts, len(ids))) - 1
-    return seg, bound, lengths, firsts
-
-
-def segment_features(flags: np.ndarray, seg: np.ndarray, lengths: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    count = lambda bit: np.add.reduceat((flags >> bit & 1), firsts) if len(firsts) else np.zeros(0)
-    strong, weak, address, group, hidden = (count(b) for b in range(5))
-    f = np.stack([np.ones_like(strong), strong > 0, (weak > 0) & (address > 0), (weak > 0) & (group > 0), (weak > 0) & (address == 0) & (group == 0), weak > 1, strong > 1, group > 0, hidden > 0, lengths < 5], 1)
-    return f.astype(float)
-
-
-def chain_marginals(u: np.ndarray, inside: np.ndarray, stay: tuple[float, float]) -> np.ndarray:
-    """P(label 1) of each token of two-label chains parted by tokens outside. u: log odds of label 1 by the token itself; stay: the gain of keeping label 0 and label 1."""
-    out = np.zeros(len(u))
-    index = np.flatnonzero(inside)
-    if not len(index):
-        return out
-    new = np.ones(len(index), bool)
-    new[1:] = np.diff(index) > 1
-    first = np.flatnonzero(new)
-    n = np.diff(np.append(first, len(index)))
-    order = np.argsort(-n, kind="stable")
-    first, n = index[first[order]], n[order]
-    a, b = np.exp(stay[0]), np.exp(stay[1])
-    # Blocks of chains of like length, so that padding stays small.
-    lo = 0
-    while lo < len(n):
-        hi = min(lo + 20_000, int(np.searchsorted(-n, -(n[lo] * 3 // 4), side="left")))
-        hi = max(hi, lo + 1)
-        start, length = first[lo:hi], n[lo:hi]
-        lo = hi
-        steps = int(length[0])
-        grid = start[:, None] + np.arange(steps)[None, :]
-        real = np.arange(steps)[None, :] < length[:, None]
-        e = np.exp(np.clip(np.where(real, u[np.minimum(grid, len(u) - 1)], 0.0), -30, 30)).T  # steps x chains
-        real = real.T
-        forward = np.empty((steps, len(start)))
-        p = e[0] / (1 + e[0])
-        forward[0] = p
-        for t in range(1, steps):
-            one, zero = (p * b + (1 - p)) * e[t], p + (1 - p) * a
-            p = np.where(real[t], one / (one + zero), p)
-            forward[t] = p
-        back = np.full(len(start), 0.5)
-        for t in range(steps - 1, -1, -1):
-            one, zero = forward[t] * back, (1 - forward[t]) * (1 - back)
-            got = np.where(real[t], one / np.maximum(one + zero, 1e-300), 0.0)
-            out[grid[:, t][real[t]]] = got[real[t]]
-            x1, x0 = back * e[t], 1 - back
-            one, zero = b * x1 + x0, x1 + a * x0
-            back = np.where(real[t], one / (one + zero), back)
-    return out
-
-
-def document_scores(p: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A document's score: the highest mean over the words of one of its utterances."""
-    seg, bound, lengths, firsts = segments(ids)
-    mean = np.add.reduceat(p, firsts) / np.maximum(lengths, 1)
-    return np.maximum.reduceat(mean, seg[starts])
-
-
-# ---- training
-
-def train(docs: list[tuple[str, int]], table: dict, *, rounds: int = 3, steps: int = 80, decay: float = 0.3, plain_segments: int = 4000) -> Model:
-    """Fits the field to labelled documents.
-
-    The labels are those of documents, and some are wrong, so tokens are labelled in rounds. In each round the model of the round before (at first what the word lists say) picks, in documents
-    labelled 1, the utterances that it holds for toxic, or else the one whose words tell most for label 1 among all labelled documents; the tokens of these get label 1 and all others 0.
-    Documents whose label the model strongly contradicts are left out. Utterances without any word of the lists or any that tells for label 1 are alike to the field; of these every k-th in
-    order of length stands for k of them, so that about `plain_segments` are left. Weights are pulled to what the word lists say by a Gaussian prior of strength `decay`, so few labels move little."""
-    model = Model()
-    if not docs:
-        return model
-    tagger = Tagger(model, table)
-    ids, starts = tagger.batch([t for t, _ in docs])
-    y = np.array([x for _, x in docs])
-    seg, bound, lengths, firsts = segments(ids)
-    doc_of_seg = np.searchsorted(starts, firsts, side="right") - 1
-    last = len(firsts) - 1  # the boundary at the end of all
-    names = [_features(*info, "") if i else [] for i, info in enumerate(tagger.info)]
-    vocabulary = {f: i for i, f in enumerate(sorted({f for x in names for f in x}))}
-    rows = np.array([i for i, x in enumerate(names) for _ in x], np.int64)
-    cols = np.array([vocabulary[f] for x in names for f in x], np.int64)
-    n_types, n_features = len(names), len(vocabulary)
-    per_type = lambda theta: np.bincount(rows, theta[cols], n_types)
-    per_feature = lambda g: np.bincount(cols, g[rows], n_features)
-    flags = np.array([r[3] for r in tagger.rows], np.int64)[ids]
-    S = segment_features(flags, seg, lengths, firsts)
-    prior = model.segment
-    # Log odds of a word type for label 1, by documents that hold it.
-    doc_of_token = np.searchsorted(starts, np.arange(len(ids)), side="right") - 1
-    pairs = np.unique(np.stack([doc_of_token, ids], 1), axis=0)
-    pos = np.bincount(pairs[:, 1], y[pairs[:, 0]] == 1, n_types)
-    neg = np.bincount(pairs[:, 1], y[pairs[:, 0]] == 0, n_types)
-    odds = np.log((pos + 0.05) / max(1, (y == 1).sum())) - np.log((neg + 0.5) / max(1, (y == 0).sum()))
-    telling = np.where((pos >= 3) & (odds > 1.5), odds, 0.0)
-    inner = np.maximum(lengths, 1)
-    told = np.add.reduceat(telling[ids], firsts) / np.sqrt(inner)
-
-    theta = [np.zeros(n_features) for _ in range(3)]
-    w = prior.copy()
-    stay = np.array(model.stay)
-    inside = ids != BOUND
-    plain = np.flatnonzero((np.add.reduceat((flags & 11 > 0) | (telling[ids] > 0), firsts) == 0) & (lengths > 0))
-    every = max(1, len(plain) // plain_segments)
-    stands = np.ones(len(firsts))
-    stands[plain] = 0.0
-    stands[plain[np.argsort(lengths[plain], kind="stable")][::every]] = every
-    stands[lengths == 0] = 0.0
-    for _ in range(rounds):
-        u = _emission(ids, [per_type(t) for t in theta], (S @ w)[seg])
-        p = chain_marginals(u, inside, tuple(stay))
-        mean = np.add.reduceat(p, firsts) / inner
-        score = np.zeros(len(docs))
-        np.maximum.at(score, doc_of_seg[:last], mean[:last])
-        chosen = (mean > 0.5) & (y[doc_of_seg] == 1)
-        lacking = np.ones(len(docs), bool)
-        lacking[doc_of_seg[chosen]] = False
-        best = np.zeros(len(docs))
-        np.maximum.at(best, doc_of_seg[:last], told[:last])
-        chosen |= (told >= best[doc_of_seg]) & (told > 1.5) & lacking[doc_of_seg] & (y[doc_of_seg] == 1)
-        chosen[last] = False
-        used = np.ones(len(docs), bool)
-        used[(y == 0) & (score > 0.8)] = False
-        has = np.zeros(len(docs), bool)
-        has[doc_of_seg[chosen]] = True
-        used[(y == 1) & ~has] = False
-        weight = used[doc_of_seg] * stands
-        keep = np.flatnonzero(weight > 0)
-        if not len(keep):
-            break
-        tokens = (weight > 0)[seg]
-        part = ids[tokens]  # whole utterances with the boundary in front of each
-        part_firsts = np.flatnonzero(part == BOUND)
-        part_seg = np.cumsum(part == BOUND) - 1
-        part_inside = part != BOUND
-        theta, w = _fit(part, part_seg, part_firsts, part_inside, chosen[keep][part_seg] & part_inside, weight[keep][part_seg] * part_inside, S[keep], prior, theta, w, tuple(stay), per_type, per_feature, steps, decay)
-    u = _emission(ids, [per_type(t) for t in theta], (S @ w)[seg])
-    mean = np.add.reduceat(chain_marginals(u, inside, tuple(stay)), firsts) / inner
-    score = np.zeros(len(docs))
-    np.maximum.at(score, doc_of_seg[:last], mean[:last])
-    index = list(vocabulary)
-    made = [{index[i]: float(x) for i, x in enumerate(t) if abs(x) > 1e-3} for t in theta]
-    return Model(*made, segment=w, stay=tuple(stay), threshold=best_threshold(score, y))
-
-
-def best_threshold(score: np.ndarray, y: np.ndarray) -> float:
-    """Midway in the range of thresholds from 0.1 to 0.9 whose F1 over the labelled documents is within a thousandth of the best."""
-    grid = np.arange(0.1, 0.9, 0.02)
-    f1 = np.array([2 * ((score >= t) & (y == 1)).sum() / max(1, (score >= t).sum() + (y == 1).sum()) for t in grid])
-    return float(np.median(grid[f1 >= f1.max() - 0.001])) if (y == 1).any() else 0.5
-
-
-def _emission(ids: np.ndarray, types: list[np.ndarray], segment: np.ndarray) -> np.ndarray:
-    u = types[0][ids] + segment
-    u[1:] += types[1][ids[:-1]]
-    u[:-1] += types[2][ids[1:]]
-    return u
-
-
-def _fit(ids, seg, firsts, inside, target, weight, S, prior, theta, w, stay, per_type, per_feature, steps, decay):
-    """Adam on the field's penalised log likelihood; its gradient is the labels less the marginals."""
-    params = [*theta, w]
-    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    n_types = per_type(theta[0]).shape[0]
-    for step in range(1, steps + 1):
-        u = _emission(ids, [per_type(p) for p in params[:3]], (S @ params[3])[seg])
-        r = (target - chain_marginals(u, inside, stay)) * weight
-        grad = [per_feature(np.bincount(ids, r, n_types)), per_feature(np.bincount(ids[:-1], r[1:], n_types)), per_feature(np.bincount(ids[1:], r[:-1], n_types)), S.T @ np.add.reduceat(r, firsts)]
-        for k, g in enumerate(grad):
-            g = g - decay * (params[k] - (prior if k == 3 else 0.0)) * (4.0 if k == 3 else 1.0)
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.99 * v[k] + 0.01 * g * g
-            params[k] = params[k] + 0.1 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)
-    return params[:3], params[3]
-
-
-# ---- over tables
-
-def labelled_sample(documents: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, most_toxic: int, most_clean: int) -> list[tuple[str, int]]:
-    """(text, label) of at most `most_toxic` and `most_clean` documents, those of the least hashes, whose labels agree; null labels are none, other numbers than 0 and 1 neither."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("bigint").alias("_id")).agg(F.min(label).alias("_y"), F.max(label).alias("_z")).where(F.col("_y") == F.col("_z"))
-    pick = lambda y, n: known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n).select("_id", "_y")
-    chosen = pick(1, most_toxic).unionByName(pick(0, most_clean)).collect()  # bounded by the two parameters
-    if not chosen:
-        return []
-    ids = documents.sparkSession.createDataFrame([(r["_id"], r["_y"]) for r in chosen], "_id bigint, _y int")
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).alias("_t")).where(F.length("_t") > 0).join(F.broadcast(ids), "_id")
-    return [(r["_t"], r["_y"]) for r in sorted(texts.collect(), key=lambda r: (r["_id"], r["_t"]))]
+        number = table[:, 3].astype(np.int64)[ids]
+        key = number[:-1] * self.base + number[1:]
+        at = np.searchsorted(self.pair_keys, key)
+        hit = self.pair_keys[at] == key
+        u[1:][hit] += self.pair_weights[at[hit]]
+        return u
 
+    def marginals(self, ids: np.ndarray) -> np.ndarray:
+        """The probability of each token to belong to such an utterance."""
+        return Chains(ids).run(self.emission(ids), self.model.move)[0]
+
+
+class Chains:
+    """The utterances of `ids` as chains, the longest first, in blocks of chains of like length, so that padding stays small."""
+
+    def __init__(self, ids: np.ndarray) -> None:
+        self.n_tokens, self.firsts = len(ids), np.flatnonzero(ids == BOUND)
+        lengths = np.diff(np.append(self.firsts, len(ids))) - 1
+        some = np.flatnonzero(lengths > 0)
+        self.segment = some[np.argsort(-lengths[some], kind="stable")]  # of each chain
+        first, n = self.firsts[self.segment] + 1, lengths[self.segment]
+        self.blocks, lo = [], 0
+        while lo < len(n):
+            hi = max(lo + 1, min(lo + 20_000, int(np.searchsorted(-n, -(n[lo] * 3 // 4), side="left"))))
+            at = np.arange(int(n[lo]))[:, None]
+            self.blocks.append((slice(lo, hi), np.minimum(first[None, lo:hi] + at, self.n_tokens - 1), at < n[None, lo:hi]))
+            lo = hi
+
+    def run(self, u: np.ndarray, move: tuple | np.ndarray, moves: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """By forward and backward passes over all chains at once: (P(label 1) of each token; of each chain the log of its sum over all labellings, the one of zeros only having weight 1; if
+        wanted, of each chain the expected numbers of beginning with 1 and of moves 0 to 1, 1 to 0 and 1 to 1)."""
+        begin, up, down, stay = np.exp(move)
+        out, total = np.zeros(self.n_tokens), np.zeros(len(self.segment))
+        counts = np.zeros((len(self.segment), 4)) if moves else None
+        for part, grid, real in self.blocks:
+            e = np.exp(np.clip(u[grid], -30, 30))
+            zero, one = np.empty(grid.shape), np.empty(grid.shape)
+            x = begin * e[0]
+            zero[0], one[0], log = 1 / (1 + x), x / (1 + x), np.log1p(x)
+            for t in range(1, len(grid)):
+                a, b = zero[t - 1] + one[t - 1] * down, (zero[t - 1] * up + one[t - 1] * stay) * e[t]
+                c, r = a + b, real[t]
+                zero[t], one[t] = np.where(r, a / c, zero[t - 1]), np.where(r, b / c, one[t - 1])
+                log += np.where(r, np.log(c), 0.0)
+            total[part] = log
+            p, back0, back1 = np.empty(grid.shape), np.ones(grid.shape[1]), np.ones(grid.shape[1])
+            for t in range(len(grid) - 1, -1, -1):
+                a, b = zero[t] * back0, one[t] * back1
+                p[t] = b / (a + b)
+                if not t:
+                    break
+                r, ahead = real[t], e[t] * back1
+                a, b = back0 + up * ahead, down * back0 + stay * ahead
+                if moves:
+                    z = zero[t - 1] * a + one[t - 1] * b
+                    for k, x in ((1, zero[t - 1] * up * ahead), (2, one[t - 1] * down * back0), (3, one[t - 1] * stay * ahead)):
+                        counts[part, k] += np.where(r, x / z, 0.0)
+                c = np.maximum(a, b)
+                back0, back1 = np.where(r, a / c, back0), np.where(r, b / c, back1)
+            if moves:
+                counts[part, 0] = p[0]
+            out[grid[real]] = p[real]
+        return out, total, counts
+
+
+def document_scores(p: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A document's score: the highest of its tokens' marginals."""
+    return np.maximum.reduceat(p, starts)
 
-def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most_toxic: int = 1200, most_clean: int = 2400) -> Model:
-    """The field fitted to a bounded sample of labelled documents. Without labels the word lists alone decide."""
-    return train(labelled_sample(documents, labels, doc_id=doc_id, text=text, label=label, most_toxic=most_toxic, most_clean=most_clean), plain_table())
 
+# ---- over tables
 
 SCORES = "score double, toxic boolean, spans array<struct<start:int,end:int,p:double>>"
 
@@ -402,17 +274,18 @@ SCORES = "score double, toxic boolean, spans array<struct<start:int,end:int,p:do
 def score_documents(documents: DataFrame, model: Model, *, text: str, keep: list[str], spans: bool = True, chunk: int = 1_000_000) -> DataFrame:
     """The columns `keep`, and for each document its score from 0 to 1, whether it reaches the model's threshold, and, if so and wanted, the offending spans.
 
-    The score is the highest mean of the tokens' marginals over one utterance; spans are the runs of tokens of marginals over a half in utterances that reach the threshold, with offsets in the
-    original text. Whole texts are read. Null and empty texts have score 0 and no spans."""
+    The score is the highest marginal of the document's tokens; spans are the runs of tokens whose marginals reach the threshold, with offsets in the original text. Whole texts are read. Null
+    and empty texts have score 0 and no spans. The model goes to each executor once, and a worker works out a word once for all its tasks."""
     if clash := {"score", "toxic", "spans", "_text"} & set(keep):
         raise ValueError(f"rename {sorted(clash)} first")
-    table = plain_table()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*keep).schema.fields) + ", " + SCORES
-    n = len(keep)
+    n, name = len(keep), f"tagger {uuid.uuid4().hex}"
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
+    sent = documents.sparkSession.sparkContext.broadcast((model, plain_table()))  # as large as the labelled sample's vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = Tagger(model, table)
+        tagger = kept(name, lambda: Tagger(*sent.value))
+        threshold = tagger.model.threshold
         for batch in batches:
             texts = [t or "" for t in batch.column(n).to_pylist()]
             lo = 0
@@ -423,37 +296,25 @@ def score_documents(documents: DataFrame, model: Model, *, text: str, keep: list
                     hi += 1
                 ids, starts = tagger.batch(texts[lo:hi])
                 p = tagger.marginals(ids)
-                scores = document_scores(p, ids, starts)
-                toxic = scores >= model.threshold
-                where = [_spans(texts[lo + i], ids, p, int(starts[i]), model.threshold, table) if x and spans else [] for i, x in enumerate(toxic)]
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(scores, pa.float64()), pa.array(toxic, pa.bool_()), pa.array(where, kind)], names=[*keep, "score", "toxic", "spans"])
+                scores = document_scores(p, starts)
+                toxic = scores >= threshold
+                where = [_spans(texts[lo + i], p[starts[i] + 1 :], threshold, tagger.table) if x and spans else [] for i, x in enumerate(toxic)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[:n], pa.array(scores, pa.float64()), pa.array(toxic, pa.bool_()), pa.array(where, kind)], names=[*keep, "score", "toxic", "spans"])
                 lo = hi
 
     return documents.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
-def _spans(text: str, ids: np.ndarray, p: np.ndarray, first: int, threshold: float, table: dict) -> list[dict]:
+def _spans(text: str, p: np.ndarray, threshold: float, table: dict) -> list[dict]:
+    """The runs of tokens of a text from the threshold on. p: the marginals of its tokens; a boundary's is 0 and ends a run."""
     tidied, at = tidy_mapped(text, table)
-    found, held, run = [], [], []
-
-    def close() -> None:
-        if held and sum(x for _, _, x in held) / len(held) >= threshold:
-            run.clear()
-            for s, e, x in [*held, (0, 0, 0.0)]:
-                if x >= 0.5:
-                    run.append((s, e, x))
-                elif run:
-                    found.append({"start": at[run[0][0]], "end": at[run[-1][1] - 1] + 1, "p": round(max(x for _, _, x in run), 6)})
-                    run.clear()
-        held.clear()
-
-    for i, m in enumerate(_WORD.finditer(tidied), first + 1):
-        if i >= len(ids):
-            break
-        if ids[i] == BOUND:
-            close()
-        else:
-            held.append((m.start(), m.end(), float(p[i])))
-    close()
+    found: list[dict] = []
+    last = -2
+    for i, (m, x) in enumerate(zip(_WORD.finditer(tidied), p)):
+        if x >= threshold:
+            if last == i - 1:
+                found[-1] |= {"end": at[m.end() - 1] + 1, "p": max(found[-1]["p"], round(float(x), 6))}
+            else:
+                found.append({"start": at[m.start()], "end": at[m.end() - 1] + 1, "p": round(float(x), 6)})
+            last = i
     return found

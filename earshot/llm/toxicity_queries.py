@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from earshot.functions.text import plain
-from earshot.llm.toxicity import fit, score_documents
+from earshot.llm.toxicity import score_documents
+from earshot.llm.toxicity_fit import fit
 from earshot.plans.registry import Registry
 from earshot.sources.tables import table
 
