@@ -38,6 +38,46 @@ def test_one_slip_in_sixteen(item, start, at, how):
     assert item in hit(f"{FILL}. {' '.join(w)} {FILL}")
 
 
+def brute(item, text, run=16):
+    """The longest run by trying every alignment word by word: it begins and ends with words as they are and has at most one slip in `run` of its words."""
+    w, t, best = item.split(), text.split(), 0
+    most = len(w) // run
+    for i in range(len(w)):
+        for s in range(len(t)):
+            if w[i] != t[s]:
+                continue
+            seen, todo = set(), [(i, s, 0)]
+            while todo:
+                r, e, n = state = todo.pop()
+                if state in seen or r >= len(w) or e >= len(t):
+                    continue
+                seen.add(state)
+                if w[r] == t[e]:
+                    if n == 0 or n * run <= r + 1 - i:
+                        best = max(best, r + 1 - i)
+                    todo.append((r + 1, e + 1, n))
+                if n < most and state != (i, s, 0):
+                    todo += [(r + 1, e + 1, n + 1), (r + 1, e, n + 1), (r, e + 1, n + 1)]
+    return best
+
+
+@settings(max_examples=120, deadline=None)
+@given(hs.integers(0, 10**9))
+def test_longest_runs_against_all_alignments(seed):
+    r = random.Random(seed)
+    w = ITEMS[r.randrange(6)][1].split()
+    a = r.randint(0, 25)
+    part = w[a : a + r.randint(15, 45)]
+    for _ in range(r.randint(0, 4)):
+        k = r.randrange(len(part))
+        part[k : k + 1] = r.choice([["qqqq"], [], ["qqqq", part[k]], ["qq", "zz"]])
+    text = " ".join([*FILL.split()[:4], *part, *FILL.split()[4:9]])
+    item = " ".join(w)
+    want = brute(item, text)
+    found = Passages([(0, item)], 16, T).find(text)
+    assert [h[1] for h in found] == ([want] if want >= 16 else [])
+
+
 def test_too_short_or_too_much_altered():
     assert not hit(f"{FILL} {' '.join(words(0, 0, 12))} {FILL}")
     w = words(1, 0, 24)
@@ -119,4 +159,6 @@ def test_tables(spark):
     items = spark.createDataFrame([*ITEMS, (99, "too short to count"), (None, ITEMS[0][1]), (98, None)], "item_id bigint, text string")
     got = leaked_passages(docs, items)
     assert rows(got.select("doc_id", "item_id")) == [(1, 0), (1, 0), (5, 1), (5, 2), (None, 3)]
+    split = leaked_passages(docs, items, most_items=2)
+    assert rows(split) == rows(leaked_passages(docs, items)) and split.rdd.getNumPartitions() > docs.rdd.getNumPartitions()
     assert leaked_passages(docs.limit(0), items).count() == 0 and leaked_passages(docs, items.limit(0)).count() == 0
