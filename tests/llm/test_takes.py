@@ -4,7 +4,7 @@ import random
 
 from hypothesis import given, settings, strategies as hs
 
-from earshot.llm.takes import Shard, covered, overlapping_takes, parsed_takes, slip
+from earshot.llm.takes import COLUMNS, Shard, _scan, covered, overlapping_takes, parsed_takes, slip, take_classes
 
 
 def brute_slip(a, b):
@@ -25,7 +25,9 @@ def test_slip(a, b):
 @given(hs.text("abcdefgh", min_size=8, max_size=8), hs.integers(0, 7), hs.sampled_from("abcdefgh"), hs.sampled_from(["sub", "del", "ins", "swap"]))
 def test_every_slip_is_covered_by_a_passage(code, i, ch, how):
     text = {"sub": code[:i] + ch + code[i + 1 :], "del": code[:i] + code[i + 1 :], "ins": code[:i] + ch + code[i:], "swap": code[:i] + code[i + 1 : i + 2] + code[i : i + 1] + code[i + 2 :]}[how]
-    assert Shard([code, "zzzzzzzz"]).scan(text) == [0] and Shard([text]).scan(code) == [0]
+    there, back = Shard([code, "zzzzzzzz"]).scan(text), Shard([text]).scan(code)
+    assert [i for i, _ in there] == [0] == [i for i, _ in back]
+    assert all((share == 1) == (text == code) or how == "ins" or len(set(code)) < 8 for _, share in there) and there[0][1] >= 0.37
 
 
 def test_covered():
@@ -99,6 +101,35 @@ def test_a_phrase_is_no_code(spark):
     assert overlapping_takes(frame(spark, data)).count() == 0
 
 
+def test_a_code_without_digits_and_a_letter_too_many(spark):
+    data = [
+        ("/d/negative/room/d20230101/call_home_abcdefgh_t003.wav", "train", "spk_000000001"), ("/d/negative/room/d20230101/call_home_abcdefxgh_t003.wav", "val", "1"), ("/d/negative/room/d20230101/call_home_abcdfgh_t003.wav", "test", None),
+        ("/d/negative/room/d20230101/tv_chatter_t003.wav", "train", None), ("/d/negative/room/d20230102/tv_chatter_t003.wav", "val", None), ("/d/negative/room/d20230101/read_news_abcdfgh_t003.wav", "test", None),
+    ]
+    assert {(r.row_id_train, r.row_id_eval) for r in overlapping_takes(frame(spark, data)).collect()} == {(0, 1), (0, 2)}
+
+
+def test_shards_are_bounded():
+    import pyarrow as pa
+
+    r = random.Random(4)
+    codes = ["".join(r.choice("abcde23") for _ in range(8)) for _ in range(300)]
+    rows = sorted({(route, "c|" + c, None, None, 0, is_text) for c in codes for route in ("<" + c[:4], ">" + c[-4:], "=" + c[:3] + c[-3:]) for is_text in (False, True)}, key=lambda x: (x[0], x[5]))
+    batches = lambda: (pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + 97])], COLUMNS) for i in range(0, len(rows), 97))
+    got = lambda most: sorted(p for b in _scan(batches(), most, 0.125) for p in zip(*b.to_pydict().values()))
+    assert got(1) == got(7) == got(10_000) and [p[:2] for p in got(7)] == sorted(("c|" + a, "c|" + b) for a in set(codes) for b in set(codes) if slip(a, b))
+
+
+def test_classes_are_the_pairs_without_copies(spark):
+    rows = frame(spark, CASES).unionByName(frame(spark, CASES)).unionByName(frame(spark, CASES).selectExpr("row_id + 100 AS row_id", "path", "split", "speaker_id"))
+    members, links = take_classes(rows)
+    of = {}
+    for r in members.collect():
+        of.setdefault(r.class_id, []).append(r.row_id)
+    pairs = sorted((a, b) for x in links.collect() for a in of[x.class_train] for b in of[x.class_eval])
+    assert pairs == sorted((r.row_id_train, r.row_id_eval) for r in overlapping_takes(rows).collect()) and len(pairs) == 4 * 9 and links.count() == 4
+
+
 def test_parsed(spark):
     t = {r.row_id: r for r in parsed_takes(frame(spark, CASES)).collect()}
     assert (t[1].code, t[1].take, t[1].day) == ("abcd2345", 3, "20230101") and t[8].code is None and t[8].take == 1 and t[12].key is None
