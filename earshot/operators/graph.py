@@ -16,6 +16,8 @@ def components(links: DataFrame, a: str, b: str, *, most_rounds: int = 60) -> Da
     edges = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
     if edges.isEmpty():
         return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    sign = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+    before = sign(edges)
     for _ in range(most_rounds):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: the larger neighbours of u go to the least of u and its neighbours.
@@ -25,8 +27,8 @@ def components(links: DataFrame, a: str, b: str, *, most_rounds: int = 60) -> Da
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         new = cut(small.where(F.col("u") != F.col("v")).distinct(), "links")
-        sign = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if sign(new) == sign(edges):
+        after = sign(new)
+        if after == before:
             return new.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        edges = new
+        edges, before = new, after
     raise RuntimeError(f"no end after {most_rounds} rounds")
