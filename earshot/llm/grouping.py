@@ -55,46 +55,65 @@ def allocate(bins: list[tuple[int, object]], shares: dict[str, float]) -> dict[o
     return out
 
 
-def assign_splits(rows: DataFrame, targets: DataFrame, *, group: str, row_id: str, name: str = "split", share: str = "share", bins: int = 200, blocks: int = 64, heavy_share: float = 0.002, most_targets: int = 100) -> DataFrame:
+def assign_splits(rows: DataFrame, targets: DataFrame, *, group: str, row_id: str, name: str = "split", share: str = "share", bins: int = 1000, per_block: int = 100_000, fan_in: int = 32, most_targets: int = 100) -> DataFrame:
     """`rows` with the column `assigned`: a split for every row, all rows of a group in one split, the splits' sizes near the target shares.
 
-    Rows without a group are bundled by a hash of `row_id` into groups that are small against a bin. Groups of at least `heavy_share` of all rows are bins of their own; there are at most
-    1 / `heavy_share`. All other groups go by hash into blocks of
-    about 100,000 groups, `blocks` at least; within a block the largest-differencing method makes `bins` bins of equal weight, one Arrow task a block; the
-    bin sums of all blocks, `bins` x `blocks` numbers, are differenced again on the driver into `bins` equal bins, and whole bins go to splits by target share.
+    Rows without a group are bundled by a hash of `row_id` into groups that are small against a bin. Groups that are as heavy as one of `bins` equal bins are bins of their own, `bins` at most.
+    All others go by hash into blocks of about `per_block` groups, and the largest-differencing method makes `bins` bins of like weight in each block. Then, level by level, the bins of `fan_in`
+    blocks are differenced in turn until one block is left: each step is one Arrow task of fan_in x bins numbers, and which bin went into which stays in a table. Only the last
+    `bins` sums and the heavy groups reach the driver, which gives whole bins to splits by target share.
     targets: shares need not sum to 1; null or negative ones raise. Empty rows give no rows. Repeated rows stay repeated: equal row ids without a group stay together. Names that begin with
     two underscores are taken; other columns of `rows` are kept."""
     wanted = {r[name]: float(r[share]) for r in bounded(targets.select(name, share), most_targets) if r[name] is not None}
     if not wanted or any(not x >= 0 for x in wanted.values()) or not sum(wanted.values()) > 0:
         raise ValueError("targets need shares of 0 or more that aren't all 0")
-    total = rows.count()
     bundle = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(F.col(row_id)), F.lit(bins * 20)).cast("string"))
     keyed = rows.withColumn("__group", F.coalesce(F.col(group).cast("string"), bundle))
     weights = cut(keyed.groupBy("__group").agg(F.count(F.lit(1)).alias("w")), "weights")
-    heavy = [(r["w"], r["__group"]) for r in weights.where(F.col("w") >= max(2.0, total * heavy_share)).collect()]  # 1 / heavy_share at most
-    blocks = max(blocks, weights.count() // 100_000)
-    light = weights.where(F.col("w") < max(2.0, total * heavy_share)).withColumn("block", F.pmod(F.xxhash64("__group"), F.lit(blocks)).cast("int"))
-
-    def block(pdf):
-        import pandas as pd
-
-        made = _block_bins(list(zip(pdf["w"].tolist(), pdf["__group"].tolist())), bins)
-        return pd.DataFrame([(int(pdf["block"].iat[0]), i, w, g) for i, members in enumerate(made) for w, g in members], columns=["block", "bin", "w", "__group"])
-
-    binned = cut(light.groupBy("block").applyInPandas(block, "block int, bin int, w bigint, __group string"), "bins")
-    sums = binned.groupBy("block", "bin").agg(F.sum("w").alias("w")).collect()  # bins x blocks numbers at most
-    by_block: dict[int, list] = {}
-    for r in sums:
-        by_block.setdefault(r["block"], []).append((r["w"], [(r["block"], r["bin"])]))
-    full = difference([b + [(0, [])] * (bins - len(b)) for _, b in sorted(by_block.items())])
-    of = allocate([(w, i) for i, (w, m) in enumerate(full) if m] + [(w, g) for w, g in heavy], wanted)
+    n_groups, total = weights.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    is_heavy = F.col("w") * bins >= max(2 * bins, total)
+    heavy = [(r["w"], r["__group"]) for r in weights.where(is_heavy).collect()]  # `bins` at most
+    blocks = max(1, -(-n_groups // per_block))
+
+    light = weights.where(~is_heavy).withColumn("block", F.pmod(F.xxhash64("__group"), F.lit(blocks)).cast("int"))
+    binned = cut(light.groupBy("block").applyInPandas(lambda pdf: _first_level(pdf, bins), "block int, bin int, w bigint, __group string"), "bins")
+    moved, sums = [], binned.groupBy("block", "bin").agg(F.sum("w").alias("w"))
+    while blocks > 1:
+        blocks = -(-blocks // fan_in)
+        level = cut(sums.withColumn("next", F.floor(F.col("block") / fan_in).cast("int")).groupBy("next").applyInPandas(lambda pdf: _next_level(pdf, bins), "block int, bin int, w bigint, next int, next_bin int"), "level")
+        moved.append(level.select("block", "bin", "next", "next_bin"))
+        sums = level.groupBy(F.col("next").alias("block"), F.col("next_bin").alias("bin")).agg(F.sum("w").alias("w"))
+    of = allocate([(r["w"], r["bin"]) for r in sums.collect()] + [(w, g) for w, g in heavy], wanted)  # 2 x `bins` at most
+
     spark = rows.sparkSession
-    whole = spark.createDataFrame([(b, k, of[i]) for i, (_, m) in enumerate(full) for b, k in m], "block int, bin int, assigned string")
+    for level in moved:
+        binned = binned.select("__group", "block", "bin").join(level, ["block", "bin"]).select("__group", F.col("next").alias("block"), F.col("next_bin").alias("bin"))
+    whole = spark.createDataFrame([(b, s) for b, s in of.items() if isinstance(b, int)], "bin int, assigned string")
     solo = spark.createDataFrame([(g, of[g]) for _, g in heavy], "__group string, assigned string")
-    chosen = binned.join(F.broadcast(whole), ["block", "bin"]).select("__group", "assigned").unionByName(solo)  # bins x blocks rows at most
+    chosen = binned.join(F.broadcast(whole), "bin").select("__group", "assigned").unionByName(solo)  # `bins` rows at most
     return keyed.join(chosen, "__group").drop("__group")
 
 
+def _first_level(pdf, bins: int):
+    """A block of groups (block, __group, w) as (block, bin, w, __group)."""
+    import pandas as pd
+
+    made = _block_bins(list(zip(pdf["w"].tolist(), pdf["__group"].tolist())), bins)
+    return pd.DataFrame([(int(pdf["block"].iat[0]), i, w, g) for i, members in enumerate(made) for w, g in members], columns=["block", "bin", "w", "__group"])
+
+
+def _next_level(pdf, bins: int):
+    """The bins of some blocks (block, bin, w, next) with the bin of the next level that each becomes part of."""
+    import pandas as pd
+
+    parts = []
+    for b, part in pdf.sort_values(["block", "bin"]).groupby("block"):
+        solution = [(w, [(b, i, w)]) for w, i in zip(part["w"].tolist(), part["bin"].tolist())]
+        parts.append(solution + [(0, [])] * (bins - len(solution)))
+    to = int(pdf["next"].iat[0])
+    return pd.DataFrame([(b, i, w, to, k) for k, (_, members) in enumerate(difference(parts)) for b, i, w in members], columns=["block", "bin", "w", "next", "next_bin"])
+
+
 def _block_bins(weights: list[tuple[int, str]], n: int) -> list[list[tuple[int, str]]]:
     """`_bins` for a block of many groups: runs of n groups in order of weight are solutions already, so that the heap holds one entry per n groups."""
     ordered = sorted(weights, key=lambda x: (-x[0], x[1]))

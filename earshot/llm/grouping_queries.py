@@ -52,6 +52,22 @@ def splits(spark: SparkSession, folder: str) -> DataFrame:
     return assign_splits(_grouped(spark, folder), table(spark, folder, "split_targets"), group="group", row_id="row_id").select("row_id", "group", F.col("split").alias("given"), "assigned")
 
 
+_GROUPS_SQL = FOUND_SQL[: FOUND_SQL.rindex("SELECT row_id FROM g")]
+
+
+@REGISTRY.add("p2_split_check", f"{_GROUPS_SQL} SELECT count(*) AS n_rows, count(DISTINCT grp) AS n_groups, 0::BIGINT AS n_parted, true AS near FROM g")
+def check(spark: SparkSession, folder: str) -> DataFrame:
+    """What the new splits must fulfil: all rows and groups are there, no group lies in two splits, and every share is within 0.1 points of its target."""
+    new = cut(splits(spark, folder), "splits")
+    parted = new.where(F.col("group").isNotNull()).groupBy("group").agg((F.min("assigned") != F.max("assigned")).alias("parted"))
+    groups = parted.agg(F.count(F.lit(1)).alias("n_groups"), F.count_if("parted").alias("n_parted"))
+    sizes = new.groupBy(F.col("assigned").alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    both = table(spark, folder, "split_targets").select("split", "share").join(sizes, "split", "full").select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    total = both.agg(F.sum("n").alias("n_rows"), F.sum("share").alias("shares"))
+    near = both.crossJoin(F.broadcast(total)).agg(F.max("n_rows").alias("n_rows"), F.bool_and(F.abs(F.col("n") / F.col("n_rows") - F.col("share") / F.col("shares")) <= 0.001).alias("near"))  # a row per split and one row
+    return near.crossJoin(F.broadcast(groups)).select("n_rows", "n_groups", "n_parted", "near")  # one row each
+
+
 @REGISTRY.add("p2_split_shares")
 def shares(spark: SparkSession, folder: str) -> DataFrame:
     """What shares of rows the new splits reach."""

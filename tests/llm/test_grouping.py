@@ -31,20 +31,31 @@ def data(spark, n=4000):
 
 def test_shares_and_groups(spark):
     targets = spark.createDataFrame([("train", 0.8), ("validation", 0.1), ("test", 0.1), (None, 0.5)], "split string, share double")
-    out = assign_splits(data(spark), targets, group="g", row_id="row_id", bins=50, blocks=4)
+    out = assign_splits(data(spark), targets, group="g", row_id="row_id", bins=50, per_block=80)
     assert out.count() == 4000 and out.where("assigned is null").count() == 0
     assert out.where("g is not null").groupBy("g").agg(F.count_distinct("assigned").alias("n")).where("n > 1").count() == 0
     share = {r.assigned: r.n / 4000 for r in out.groupBy("assigned").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert share == {"train": pytest.approx(0.8, abs=0.02), "validation": pytest.approx(0.1, abs=0.02), "test": pytest.approx(0.1, abs=0.02)}
-    again = assign_splits(data(spark), targets, group="g", row_id="row_id", bins=50, blocks=4)
+    again = assign_splits(data(spark), targets, group="g", row_id="row_id", bins=50, per_block=80)
     assert rows(out) == rows(again)
 
 
+def test_a_million_groups_in_two_thousand_blocks(spark):
+    targets = spark.createDataFrame([("train", 0.8), ("validation", 0.1), ("test", 0.1)], "split string, share double")
+    # One group of a third of the rows, some of about a bin, and small ones.
+    g = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 30 == 1, F.col("id") % 7 + 1).otherwise(F.col("id") + 10)
+    data = spark.range(1_700_000).select(F.col("id").alias("row_id"), g.cast("string").alias("g"))
+    out = assign_splits(data, targets, group="g", row_id="row_id", bins=400, per_block=550)
+    share = {r.assigned: r.n / 1_700_000 for r in out.groupBy("assigned").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert share == {"train": pytest.approx(0.8, abs=0.001), "validation": pytest.approx(0.1, abs=0.001), "test": pytest.approx(0.1, abs=0.001)}
+    assert out.groupBy("g").agg(F.min("assigned").alias("a"), F.max("assigned").alias("b")).where("a <> b").count() == 0
+
+
 def test_bad_targets_empty_and_clashing(spark):
     t = spark.createDataFrame([("train", 1.0)], "split string, share double")
     assert assign_splits(data(spark).limit(0), t, group="g", row_id="row_id").count() == 0
     extra = data(spark, 800).withColumn("w", F.lit(1)).withColumn("block", F.lit(2)).withColumn("bin", F.lit(3)).withColumn("_group", F.lit("x"))
-    out = assign_splits(extra, t, group="g", row_id="row_id", bins=10, blocks=2)
+    out = assign_splits(extra, t, group="g", row_id="row_id", bins=10, per_block=20)
     assert out.count() == 800 and set(out.columns) == {"row_id", "g", "w", "block", "bin", "_group", "assigned"}
     for bad in ([("a", -1.0)], [("a", 0.0)], []):
         with pytest.raises(ValueError):
