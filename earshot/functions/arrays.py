@@ -14,6 +14,11 @@ def total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda x, v: x + v.cast("double"))
 
 
+def placed(a: Column) -> Column:
+    """The sum of the values, each times its place from 1 on: unlike a plain sum it tells where values stand."""
+    return total(F.transform(a, lambda v, i: v.cast("double") * (i + 1)))
+
+
 def dot(a: Column, b: Column) -> Column:
     return total(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
 
@@ -37,8 +42,8 @@ def pad_or_cut(a: Column, size: int | Column) -> Column:
     return F.slice(F.concat(a, F.array_repeat(F.lit(0).cast("float"), F.lit(size) if isinstance(size, int) else size)), F.lit(1), F.lit(size) if isinstance(size, int) else size)
 
 
-def fixed_length(a: Column, size: int, strategy: str, seed: Column | None = None) -> Column:
-    """`size` values: cut at the start or end, at a place given by a hash, or nothing for longer arrays; shorter ones get zeros in front."""
+def fixed_length(a: Column, size: int, strategy: str, drawn: Column | None = None) -> Column:
+    """`size` values: cut at the start or end, at a random place by a number drawn for the row, or nothing for longer arrays; shorter ones get zeros in front."""
     n = F.size(a)
     short = F.concat(F.array_repeat(F.lit(0).cast("float"), F.greatest(F.lit(0), size - n)), a)
     if strategy == "truncate_start":
@@ -46,7 +51,7 @@ def fixed_length(a: Column, size: int, strategy: str, seed: Column | None = None
     elif strategy in ("truncate_end", "fixed_right_cutoff"):
         long = F.slice(a, 1, size)
     elif strategy == "random":
-        long = F.slice(a, F.pmod(F.xxhash64(seed), F.greatest(n - size + 1, F.lit(1))).cast("int") + 1, F.lit(size))
+        long = F.slice(a, F.pmod(drawn, F.greatest(n - size + 1, F.lit(1))).cast("int") + 1, F.lit(size))
     elif strategy == "none":
         long = a
     else:

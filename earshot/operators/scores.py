@@ -235,18 +235,18 @@ def decimate(df: DataFrame, order: str, most: int) -> DataFrame:
     return ranked.join(F.broadcast(place), F.col("_one_before") == F.col("_place"), "left_semi").select(*df.columns)
 
 
-def bootstrap(df: DataFrame, replicates: int, threshold: float, *, row_id: str = "row_id", score: str = "score", label: str = "y", seed: int = 42) -> DataFrame:
+def bootstrap(df: DataFrame, replicates: int, threshold: float, *, score: str = "score", label: str = "y", seed: int = 42) -> DataFrame:
     """(metric, mean, std, low, high): 95 % intervals of recall, precision and F1 by the Poisson bootstrap.
 
-    A row's weight in a replicate is Poisson(1), drawn from a hash of row and replicate. Rows are repeated and counted within their task, so what is shuffled is a row of partial sums per
-    task and replicate, not rows x replicates."""
-    cell = (F.when(F.col(label) == 1, F.lit(0)).otherwise(F.lit(2)) + F.when(F.col(score) >= threshold, F.lit(0)).otherwise(F.lit(1))).alias("cell")
-    rows = df.select(cell, F.col(row_id).alias("id"))
-    cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
-    u = lambda b: F.pmod(F.xxhash64("id", b, F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0
-    drawn = rows.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("u", u(F.col("b")))
-    weight = sum(F.when(F.col("u") >= c, 1).otherwise(0) for c in cdf)
-    counts = drawn.groupBy("b").agg(*[F.sum(F.when(F.col("cell") == i, weight).otherwise(0)).alias(n) for i, n in enumerate(("tp", "fn", "fp", "tn"))])
-    m = binary_metrics(counts.select("b", "tp", "fp", "tn", "fn")).select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("v")) for n in ("recall", "precision", "f1")])).alias("x")).select("x.*")
+    Were each row's weight in a replicate Poisson(1), a cell of the confusion matrix with n rows would weigh Poisson(n). So the rows are counted once, and only the four counts are drawn anew.
+    Rows without a score or label take no part."""
+    import numpy as np
+
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    hit, real = F.col(score) >= threshold, F.col(label) == 1
+    cells = known.agg(F.count_if(hit & real), F.count_if(hit & ~real), F.count_if(~hit & ~real), F.count_if(~hit & real)).first()
+    drawn = np.random.default_rng(seed).poisson([max(0, n) for n in cells], (replicates, 4))
+    counts = df.sparkSession.createDataFrame([(b, *map(int, r)) for b, r in enumerate(drawn)], "b int, tp bigint, fp bigint, tn bigint, fn bigint")
+    m = binary_metrics(counts).select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("v")) for n in ("recall", "precision", "f1")])).alias("x")).select("x.*")
     q = lambda p: F.percentile("v", F.lit(p))
     return m.groupBy("metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), q(0.025).alias("low"), q(0.975).alias("high"))

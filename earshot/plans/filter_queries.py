@@ -6,14 +6,30 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from earshot.functions import arrays as ar, scalars as sf
 from earshot.operators import curation as cu
+from earshot.operators.splitting import draw, paired, uniform
 from earshot.plans.aggregate_queries import P, R, exact_sum, predictions, records
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import S, stream
+from earshot.sources import audio
 from earshot.sources.tables import table
 
 REGISTRY = Registry()
 
 
+def _placed_sql(a: str) -> str:
+    return f"round(list_sum(list_transform({a}, lambda v, i: v::DOUBLE * i)), 3)"
+
+
+def _placed(c: F.Column) -> F.Column:
+    return F.round(ar.placed(c), 3)
+
+
+def draw_sql(*x: str) -> str:
+    """`splitting.draw` in DuckDB's SQL."""
+    return f"('0x' || left(md5(concat_ws(':', {', '.join(x)})), 13))::BIGINT"
+
+
+
 @REGISTRY.add("PF1_range_inclusive", "SELECT row_id FROM sample_records WHERE duration_ms BETWEEN 300 AND 2000")
 def pf1(spark, folder):
     return records(spark, folder).where(F.col("ms").between(300, 2000)).select("row_id")
@@ -124,15 +140,20 @@ def pf18(spark, folder):
     return s.select("row_id", "variant", F.coalesce(changed, "score").alias("value"))
 
 
-@REGISTRY.add("PF19_transform_chain")
+_U = lambda step: f"{draw_sql('vec_id', repr(step), '42')} / 4503599627370496.0"
+
+
+@REGISTRY.add("PF19_transform_chain", f"""WITH a AS (SELECT vec_id, CASE WHEN {_U('gain')} < 0.5 THEN list_transform(embedding, lambda v: (v * 1.5::DOUBLE)::FLOAT) ELSE embedding END AS a FROM embeddings),
+b AS (SELECT vec_id, CASE WHEN {_U('drive')} < 0.3 THEN list_transform(a, lambda v: tanh(v::DOUBLE * 2)::FLOAT) ELSE a END AS a FROM a),
+c AS (SELECT vec_id, CASE WHEN {_U('mask')} < 0.4 THEN list_transform(a, lambda v, i: CASE WHEN i BETWEEN 11 AND 20 THEN 0 ELSE v END) ELSE a END AS a FROM b),
+d AS (SELECT vec_id, CASE WHEN {_U('shift')} < 0.2 THEN a[9:] || a[:8] ELSE a END AS a FROM c) SELECT vec_id, len(a)::INT AS size, {_placed_sql('a')} AS placed FROM d""")
 def pf19(spark, folder):
     """Steps in order, each taken with its probability by a hash of row and step: gain, drive, mask, shift."""
     e = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("a"))
-    u = lambda step: F.pmod(F.xxhash64("vec_id", F.lit(step), F.lit(42)), F.lit(1_000_003)) / 1_000_003.0
     steps = (("gain", 0.5, lambda a: F.transform(a, lambda v: (v * 1.5).cast("float"))), ("drive", 0.3, lambda a: F.transform(a, lambda v: F.tanh(v * 2).cast("float"))), ("mask", 0.4, lambda a: ar.masked(a, F.lit(10), F.lit(20))), ("shift", 0.2, lambda a: F.concat(F.slice(a, F.lit(9), F.size(a)), F.slice(a, 1, 8))))
     for name, p, f in steps:
-        e = e.withColumn("a", F.when(u(name) < p, f(F.col("a"))).otherwise(F.col("a")))
-    return _sums(e, F.col("a"), "vec_id")
+        e = e.withColumn("a", F.when(uniform(F.col("vec_id"), F.lit(name), F.lit(42)) < p, f(F.col("a"))).otherwise(F.col("a")))
+    return e.select("vec_id", F.size("a").alias("size"), _placed(F.col("a")).alias("placed"))
 
 
 # ---- scalar functions
@@ -140,7 +161,14 @@ def pf19(spark, folder):
 _WORDS = "SELECT vec_id, embedding AS a FROM embeddings"
 
 
-@REGISTRY.add("SF1_filename_to_text")
+#: The texts of names by the same patterns; the fifth, which looks ahead, by the parts between the marks.
+TEXTS_SQL = """SELECT row_id, path, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(array_to_string(list_filter(part, lambda x, i: i = 1 OR i = len(part) OR NOT (regexp_full_match(x, '[a-z0-9]{4,6}')
+  AND regexp_matches(array_to_string(part[i:], '-'), '[0-9]') AND regexp_matches(array_to_string(part[i:], '-'), '[a-z]'))), '-'), '[-_][0-9]{1,3}$', '')), '[-_ ]+', ' ', 'g')), ''), 'unknown') AS text
+FROM (SELECT row_id, path, string_split_regex(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(path, '([^/]*)$', 1), '^(.+)[.][^.]*$', '\\1'), '[-_]v?[0-9]+$', ''),
+  '(?i)[-_]?(sample|recording|clip|audio|rec|take|noise|ambient)[-_]?[0-9]*$', ''), '[-_]?[0-9]{8}[-_]?[0-9]{4,6}', '', 'g'), '[-_]?[0-9]{8}$', ''), '[-_]') AS part FROM sample_records)"""
+
+
+@REGISTRY.add("SF1_filename_to_text", f"SELECT row_id, text FROM ({TEXTS_SQL})")
 def sf1(spark, folder):
     return records(spark, folder).select("row_id", sf.spoken_text(F.col("path")).alias("text"))
 
@@ -152,7 +180,7 @@ def sf2(spark, folder):
 
 
 @REGISTRY.add("SF3_speaker_patterns", f"""WITH {R}, x AS (SELECT row_id, nullif(regexp_extract(path, '([^/]*)$', 1), '') AS f, nullif(regexp_extract(path, '([^/]*)/[^/]*$', 1), '') AS d FROM r)
-SELECT row_id, coalesce(nullif(regexp_extract(f, '^(hey_[A-Za-z0-9]+)_[0-9]{{8}}', 1), ''), nullif(regexp_extract(f, '^([A-Za-z][A-Za-z0-9]+)_[0-9]{{8,}}', 1), ''), CASE WHEN d NOT IN ('positive', 'negative', 'hard_negative', 'background') THEN d END) AS speaker FROM x""")
+SELECT row_id, coalesce(nullif(regexp_extract(f, '^(hey_[a-zA-Z0-9]+)_[0-9]{{8}}', 1), ''), nullif(regexp_extract(f, '^([a-zA-Z][a-zA-Z0-9]+)_[0-9]{{8,}}', 1), ''), CASE WHEN d NOT IN ('positive', 'negative', 'hard_negative', 'background') THEN d END) AS speaker FROM x""")
 def sf3(spark, folder):
     return records(spark, folder).select("row_id", sf.named_speaker(F.col("path"), ["positive", "negative", "hard_negative", "background"]).alias("speaker"))
 
@@ -197,9 +225,9 @@ def sf12(spark, folder):
     return q.select("score_id", F.round(sf.quality_fast(F.col("snr_db")), 6).alias("fast"), F.round(sf.quality_full(F.col("dnsmos_ovrl"), F.col("vad_conf"), F.col("snr_db")), 6).alias("complete"))
 
 
-@REGISTRY.add("SF13_gain", f"SELECT vec_id, round(list_sum(a) * pow(10, 6 / 20.0), 4) AS total FROM ({_WORDS})")
+@REGISTRY.add("SF13_gain", f"SELECT vec_id, {_placed_sql('list_transform(a, lambda v: v * pow(10, 6 / 20.0))')} AS placed FROM ({_WORDS})")
 def sf13(spark, folder):
-    return table(spark, folder, "embeddings").select("vec_id", F.round(ar.total(F.transform("embedding", lambda v: v * sf.gain(F.lit(6.0)))), 4).alias("total"))
+    return table(spark, folder, "embeddings").select("vec_id", _placed(F.transform("embedding", lambda v: v * sf.gain(F.lit(6.0)))).alias("placed"))
 
 
 @REGISTRY.add("SF14_tanh_drive", f"SELECT vec_id, round(list_sum(list_transform(a, lambda v: tanh(v * 4::DOUBLE))), 4) AS total FROM ({_WORDS})")
@@ -212,22 +240,31 @@ def sf15(spark, folder):
     return table(spark, folder, "embeddings").select("vec_id", F.round(ar.total(ar.resampled(F.col("embedding"), 32)), 4).alias("total"))
 
 
-@REGISTRY.add("SF16_stereo_to_mono", "SELECT event_id, ((event_id * 31 % 65536 - 32768) + (event_id * 17 % 65536 - 32768)) >> 1 AS mono, (event_id * 999 % 16777216) >> 8 AS s16, event_id % 256 - 128 AS s8 FROM events")
+@REGISTRY.add("SF16_stereo_to_mono", "SELECT event_id, ((event_id * 31 % 65536 - 32768) + (event_id * 17 % 65536 - 32768)) >> 1 AS mono, (event_id * 999 % 16777216 - 8388608) >> 8 AS s16, (event_id % 256 - 128) * 256 AS s8 FROM events")
 def sf16(spark, folder):
+    """Each event as three files of real PCM bytes: 16-bit stereo, 24-bit mono and 8-bit unsigned mono, read as 16-bit mono."""
     i = F.col("event_id")
-    return table(spark, folder, "events").select("event_id", F.shiftright((i * 31 % 65536 - 32768) + (i * 17 % 65536 - 32768), 1).alias("mono"), F.shiftright(i * 999 % 16777216, 8).alias("s16"), (i % 256 - 128).alias("s8"))
+    rows = table(spark, folder, "events").select("event_id", (i * 31 % 65536 - 32768).alias("l"), (i * 17 % 65536 - 32768).alias("r"), (i * 999 % 16777216 - 8388608).alias("w"), (i % 256).alias("b"))
+    little = lambda c, n: F.concat(*[F.lpad(F.hex(F.shiftright(F.pmod(c, F.lit(1 << 8 * n)), 8 * k).bitwiseAND(F.lit(255))), 2, "0") for k in range(n)])
+
+    def wav(data: F.Column, channels: int, bits: int) -> F.Column:
+        frame = channels * bits // 8
+        return F.unhex(F.concat(F.lit(audio.wav_header(frame, 16000, bits, channels).hex()), data))
 
+    first = lambda c: F.element_at(audio.wav_ints(c), 1).cast("bigint")
+    return rows.select("event_id", first(wav(F.concat(little(F.col("l"), 2), little(F.col("r"), 2)), 2, 16)).alias("mono"), first(wav(little(F.col("w"), 3), 1, 24)).alias("s16"), first(wav(little(F.col("b"), 1), 1, 8)).alias("s8"))
 
-@REGISTRY.add("SF17_masking", "SELECT vec_id, round(list_sum(list_slice(embedding, 1, vec_id % 50)) + list_sum(list_slice(embedding, vec_id % 50 + 9, 64)), 4) AS total FROM embeddings WHERE vec_id % 50 > 0")
+
+@REGISTRY.add("SF17_masking", f"SELECT vec_id, {_placed_sql('list_transform(embedding, lambda v, i: CASE WHEN i > vec_id % 50 AND i <= vec_id % 50 + 8 THEN 0 ELSE v END)')} AS placed FROM embeddings")
 def sf17(spark, folder):
     s = (F.col("vec_id") % 50).cast("int")
-    return table(spark, folder, "embeddings").where("vec_id % 50 > 0").select("vec_id", F.round(ar.total(ar.masked(F.col("embedding"), s, s + 8)), 4).alias("total"))
+    return table(spark, folder, "embeddings").select("vec_id", _placed(ar.masked(F.col("embedding"), s, s + 8)).alias("placed"))
 
 
-@REGISTRY.add("SF19_tile_trim", "SELECT vec_id, round(list_sum(embedding) + list_sum(list_slice(embedding, 1, 36)), 4) AS total, 100 AS size FROM embeddings")
+@REGISTRY.add("SF19_tile_trim", f"SELECT vec_id, {_placed_sql('embedding || embedding[:36]')} AS placed, 100 AS size FROM embeddings")
 def sf19(spark, folder):
     a = ar.tiled(ar.trimmed_zeros(ar.padded_both(F.col("embedding"), 5, 7)), 100)
-    return table(spark, folder, "embeddings").select("vec_id", F.round(ar.total(a), 4).alias("total"), F.size(a).alias("size"))
+    return table(spark, folder, "embeddings").select("vec_id", _placed(a).alias("placed"), F.size(a).alias("size"))
 
 
 @REGISTRY.add("SF20_cosine", "SELECT vec_id, round(list_cosine_similarity(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 5) AS cosine FROM embeddings")
@@ -263,9 +300,13 @@ def sf26(spark, folder):
     return records(spark, folder).select("row_id", sf.stem(p).alias("stem"), sf.suffix(p).alias("suffix"), sf.parent(p).alias("parent"))
 
 
-@REGISTRY.add("SF27_hash_crop")
+_CROP = f"{draw_sql('vec_id', '27')} % greatest(len(a) - 29, 1)"
+
+
+@REGISTRY.add("SF27_hash_crop", f"SELECT vec_id, 30 AS size, {_placed_sql(f'CASE WHEN len(a) <= 30 THEN list_transform(range(30 - len(a)), lambda x: 0::FLOAT) || a ELSE list_slice(a, {_CROP} + 1, {_CROP} + 30) END')} AS placed FROM ({_E})")
 def sf27(spark, folder):
-    return _sums(_ragged(spark, folder), ar.fixed_length(F.col("a"), 30, "random", F.col("vec_id")), "vec_id")
+    a = ar.fixed_length(F.col("a"), 30, "random", draw(F.col("vec_id"), F.lit(27)))
+    return _ragged(spark, folder).select("vec_id", F.size(a).alias("size"), _placed(a).alias("placed"))
 
 
 @REGISTRY.add("SF28_iso_timestamps", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso FROM events")
@@ -278,9 +319,10 @@ def sf30(spark, folder):
     return records(spark, folder).where("ms IS NOT NULL").select("row_id", sf.frame_count(F.floor(F.col("ms") * 16), 480, 160).alias("frames"))
 
 
-@REGISTRY.add("SF31_two_sided_pad", "SELECT vec_id, 76 AS size, round(list_sum(embedding), 4) AS total FROM embeddings")
+@REGISTRY.add("SF31_two_sided_pad", f"SELECT vec_id, 76 AS size, {_placed_sql('[0, 0, 0, 0, 0]::FLOAT[] || embedding || [0, 0, 0, 0, 0, 0, 0]::FLOAT[]')} AS placed FROM embeddings")
 def sf31(spark, folder):
-    return _sums(table(spark, folder, "embeddings"), ar.padded_both(F.col("embedding"), 5, 7), "vec_id")
+    a = ar.padded_both(F.col("embedding"), 5, 7)
+    return table(spark, folder, "embeddings").select("vec_id", F.size(a).alias("size"), _placed(a).alias("placed"))
 
 
 @REGISTRY.add("SF32_dequantise", "SELECT event_id, 0.00390625::DOUBLE * (event_id % 256 - 128 + 128) AS own, (1 / 255.0) * (event_id % 256) AS fixed FROM events")
@@ -296,10 +338,12 @@ def sf33(spark, folder):
     return table(spark, folder, "part").select("p_partkey", F.aggregate(a, F.lit(0), lambda x, v: x + v).alias("total"), F.size(a).alias("n"))
 
 
-@REGISTRY.add("SF34_receptive_field", "SELECT p_partkey, (p_size % 4 + 1) * (greatest(5, p_size % 11 + 1) - 1) * 3 + 5 AS field FROM part")
+@REGISTRY.add("SF34_receptive_field", "SELECT p_partkey, 5 + (1 + p_size % 2) * (greatest(5, p_size % 11 + 1) - 1) * (p_size % 3 + 1) + 3 * (greatest(7, p_size % 5 + 1) - 1) AS field FROM part")
 def sf34(spark, folder):
-    kernels = F.array(F.lit(5), (F.col("p_size") % 11 + 1).cast("int"))
-    return table(spark, folder, "part").select("p_partkey", ((F.col("p_size") % 4 + 1) * (F.array_max(kernels) - 1) * 3 + 5).alias("field"))
+    """Of a first kernel of 5 and two blocks: one of kernels 5 and by part, repeats and stride by part, one of kernels 7 and by part, repeated 3 times."""
+    n = F.col("p_size")
+    blocks = [(1 + n % 2, F.array(F.lit(5), (n % 11 + 1).cast("int")), n % 3 + 1), (F.lit(3), F.array(F.lit(7), (n % 5 + 1).cast("int")), F.lit(1))]
+    return table(spark, folder, "part").select("p_partkey", sf.receptive_field(5, blocks).alias("field"))
 
 
 # ---- curation composites
@@ -406,10 +450,10 @@ def jn8(spark, folder):
     return table(spark, folder, "part").select("p_partkey", (-best["s"]).alias("score"), F.when(best["s"] < 0, best["v"]).otherwise("").alias("variant"))
 
 
-@REGISTRY.add("JN9_hash_pairing", "SELECT e.event_id, n.vec_id FROM events e JOIN embeddings n ON n.vec_id = e.event_id % 100")
+@REGISTRY.add("JN9_hash_pairing", f"WITH n AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS i FROM embeddings) SELECT event_id, vec_id FROM events JOIN n ON n.i = {draw_sql('event_id', '9')} % (SELECT count(*) FROM embeddings)")
 def jn9(spark, folder):
-    e, n = table(spark, folder, "events").select("event_id"), table(spark, folder, "embeddings").select("vec_id")
-    return e.join(n, F.col("event_id") % 100 == F.col("vec_id"))
+    """Each event with one of all vectors, drawn by a hash."""
+    return paired(table(spark, folder, "events").select("event_id"), "event_id", table(spark, folder, "embeddings").select("vec_id"), "vec_id", seed=9)
 
 
 @REGISTRY.add("JN10_compare_models", f"""WITH {S}, m AS (SELECT clip % 2 AS model, avg(score) AS mean, max(score) AS top, avg(w) AS fah FROM s GROUP BY 1), a AS (SELECT unnest(['mean', 'top', 'fah']) AS metric, unnest([mean, top, fah]) AS v FROM m WHERE model = 0), b AS (SELECT unnest(['mean', 'top', 'fah']) AS metric, unnest([mean, top, fah]) AS v FROM m WHERE model = 1)

@@ -12,6 +12,7 @@ from earshot.functions.similar_text import jaro_winkler
 from earshot.functions.snr import STATISTIC, snr
 from earshot.operators import ordered as od, scores as sc, splitting as sp
 from earshot.plans.aggregate_queries import R, records
+from earshot.plans.filter_queries import TEXTS_SQL, draw_sql
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import HOURS, S, grid_sql, r6, stream
 from earshot.session import cut, workspace
@@ -48,10 +49,14 @@ def st1(spark, folder):
 @REGISTRY.add("ST1_ring_buffer_stream", f"WITH {S} SELECT row_id, round(coalesce(sum(score) OVER ({_O} ROWS 3 PRECEDING), 0), 6) AS total FROM s")
 def st1_stream(spark, folder):
     """The same on a stream, with the state kept by key."""
+    return r6(_ring_stream(spark, folder))
+
+
+def _ring_stream(spark, folder):
     rows = _score_files(spark, folder)
     m = st.RingBuffer(4, rows.columns.index("score"), rows.columns.index("row_id"))
     out = st.run_to_table(st.fold_stream(rows, ["clip"], ["ts", "row_id"], m, "row_id bigint, b array<double>"), _fresh(spark, "ring"))
-    return r6(out.select("row_id", ar.total(F.col("b")).alias("total")))
+    return out.select("row_id", ar.total(F.col("b")).alias("total"))
 
 
 @REGISTRY.add("ST2_strided_state", f"WITH {S}, n AS (SELECT *, row_number() OVER ({_O}) AS i, sum(score) OVER ({_O} ROWS 4 PRECEDING) AS t FROM s) SELECT row_id, round(t, 6) AS total FROM n WHERE i % 3 = 0")
@@ -86,12 +91,15 @@ def st6(spark, folder):
     return out.groupBy("clip").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 5).alias("total"))
 
 
-@REGISTRY.add("ST8_clipwise_detections")
+@REGISTRY.add("ST8_clipwise_detections", f"""WITH RECURSIVE {S}, n AS (SELECT clip, row_id, row_number() OVER ({_O}) AS i, list(score) OVER ({_O} ROWS 4 PRECEDING) AS held FROM s), m AS (SELECT *, list_sum(held) / 5 AS average FROM n),
+f AS (SELECT clip, i, row_id, average, 9 AS wait, false AS hit FROM m WHERE i = 1
+  UNION ALL SELECT clip, i, row_id, average, CASE WHEN hit THEN 10 ELSE wait END, hit FROM (SELECT m.clip, m.i, m.row_id, m.average, greatest(0, f.wait - 1) AS wait, m.i >= 5 AND f.wait <= 1 AND m.average > 0.5 AS hit FROM f JOIN m ON m.clip = f.clip AND m.i = f.i + 1))
+SELECT clip, row_id, round(average, 6) AS average FROM f WHERE hit""")
 def st8(spark, folder):
     """Accepts of a stream of scores: moving average over 5 rows, cooldown of 10."""
     rows = _score_files(spark, folder)
     m = st.DetectionEvents(5, 0.5, 10, rows.columns.index("score"), rows.columns.index("row_id"))
-    return st.run_to_table(st.fold_stream(rows, ["clip"], ["ts", "row_id"], m, "row_id bigint, average double"), _fresh(spark, "detections"))
+    return r6(st.run_to_table(st.fold_stream(rows, ["clip"], ["ts", "row_id"], m, "row_id bigint, average double"), _fresh(spark, "detections")))
 
 
 @REGISTRY.add("ST9_background_miner", f"WITH {S} SELECT row_id, score FROM s WHERE y = 0 ORDER BY score DESC, row_id LIMIT 25")
@@ -113,11 +121,27 @@ def st11(spark, folder):
     return r6(stream(spark, folder).select("row_id", F.avg("score").over(_by_clip().rowsBetween(-2, 0)).alias("short"), F.avg("w").over(_by_clip().rowsBetween(-6, 0)).alias("middle"), F.max("score").over(_by_clip().rowsBetween(-14, 0)).alias("long")))
 
 
-@REGISTRY.add("ST12_batch_stream_gap", "SELECT 10000 * 0 + count(*) AS n, 0.0::DOUBLE AS mean_gap, 0.0::DOUBLE AS max_gap, true AS passes FROM events")
+@REGISTRY.add("ST12_batch_stream_gap", f"""WITH {S}, n AS (SELECT row_number() OVER ({_O}) AS i, sum(score) OVER ({_O} ROWS 3 PRECEDING) - CASE WHEN row_number() OVER ({_O}) > 1 THEN (score + coalesce(lag(score, 1) OVER ({_O}), 0) + coalesce(lag(score, 2) OVER ({_O}), 0) + coalesce(lag(score, 3) OVER ({_O}), 0)) / 1.25 ELSE score END AS gap FROM s)
+SELECT count(*) AS n, round(avg(abs(gap)), 6) AS mean_gap, round(max(abs(gap)), 6) AS max_gap, round(median(abs(gap)), 6) AS median_gap, round(stddev_pop(gap), 6) AS std_gap, max(abs(gap)) < 0.01 AS passes FROM n""")
 def st12(spark, folder):
-    j = st1(spark, folder).join(st1_stream(spark, folder).withColumnRenamed("total", "t2"), "row_id")
-    gap = F.abs(F.col("total") - F.col("t2"))
-    return j.agg(F.count(F.lit(1)).alias("n"), F.avg(gap).alias("mean_gap"), F.max(gap).alias("max_gap"), (F.max(gap) < 0.01).alias("passes"))
+    """The gap between totals over the last four scores in batch and by a stream whose later rows are scaled down by 1.25: a known difference, which the statistics must show."""
+    i = F.row_number().over(_by_clip())
+    batch = stream(spark, folder).select("row_id", st.ring_buffer(F.col("score"), 4, _by_clip()).alias("b"), F.when(i > 1, 1.25).otherwise(1.0).alias("scale"))
+    batch = batch.select("row_id", ar.total(F.col("b")).alias("total"), "scale")
+    j = batch.join(_ring_stream(spark, folder).withColumnRenamed("total", "t2"), "row_id")
+    return r6(st.gap_statistics(j.select("total", (F.col("t2") / F.col("scale")).alias("t2")), "total", "t2", 0.01))
+
+
+@REGISTRY.add("ST7_streaming_gate", "SELECT unnest(['boundary', 'deterministic', 'state_changes']) AS gate, true AS passes")
+def st7(spark, folder):
+    """Three gates of a stream operator: two runs agree, equal inputs give other outputs once the state differs, and a clip's first rows know nothing of the clip before."""
+    first, second = _ring_stream(spark, folder), _ring_stream(spark, folder).withColumnRenamed("total", "t2")
+    rows = stream(spark, folder).select("row_id", "score", F.row_number().over(_by_clip()).alias("i"))
+    both = rows.join(first, "row_id").join(second, "row_id", "left")
+    changed = both.groupBy("score").agg(F.count_distinct("total").alias("n"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    same = both.agg(F.coalesce(F.bool_and(F.col("total") == F.col("t2")), F.lit(True)).alias("passes"))
+    apart = both.where("i = 1").agg(F.coalesce(F.bool_and(F.abs(F.col("total") - F.col("score")) < 1e-9), F.lit(True)).alias("passes"))
+    return same.select(F.lit("deterministic").alias("gate"), "passes").unionByName(changed.agg((F.max("n") > 1).alias("passes")).select(F.lit("state_changes").alias("gate"), "passes")).unionByName(apart.select(F.lit("boundary").alias("gate"), "passes"))
 
 
 # ---- splits and samples
@@ -136,32 +160,40 @@ def sp2(spark, folder):
     return sp.group_split(c, "g", "c_custkey", 0.7, 0.15, seed=7).select("c_custkey", "assigned")
 
 
-@REGISTRY.add("SP3_five_way_partition")
+_FIVE = "unnest([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20]) AS bin, unnest(['calibration', 'calibration', 'representative', 'confirm', 'confirm', 'confirm', 'train', 'train', 'train', 'train', 'train', 'train', 'train', 'train', 'train', 'train', 'eval', 'eval', 'eval', 'eval']) AS part"
+
+
+@REGISTRY.add("SP3_five_way_partition", f"""WITH RECURSIVE g AS (SELECT user_id, 'g' || user_id AS k, count(*) AS n FROM events GROUP BY 1), b AS (SELECT *, CASE WHEN n * 20000 >= (SELECT count(*) FROM events) THEN k ELSE 'b' || ({draw_sql('k')} % 20000) END AS bundle FROM g),
+o AS (SELECT bundle, sum(n)::BIGINT AS n, row_number() OVER (ORDER BY sum(n) DESC, bundle) AS i FROM b GROUP BY bundle), f AS (SELECT 0::BIGINT AS i, ''::VARCHAR AS bundle, 0 AS bin, list_transform(range(20), lambda x: 0::BIGINT) AS fill
+  UNION ALL SELECT i, bundle, spot, list_transform(fill, lambda x, j: CASE WHEN j = spot THEN x + n ELSE x END) FROM (SELECT o.i, o.bundle, o.n, f.fill, list_position(f.fill, list_min(f.fill)) AS spot FROM f JOIN o ON o.i = f.i + 1)), p AS (SELECT {_FIVE})
+SELECT event_id, user_id, part FROM events JOIN b USING (user_id) JOIN f ON f.bundle = b.bundle JOIN p ON p.bin = f.bin""")
 def sp3(spark, folder):
     return sp.five_way(table(spark, folder, "events").select("event_id", "user_id"), "user_id").select("event_id", "user_id", "part")
 
 
-@REGISTRY.add("SP4_weighted_sampling")
+@REGISTRY.add("SP4_weighted_sampling", f"""WITH o AS (SELECT n_nationkey, n_nationkey % 5 + 1 AS w, {draw_sql('n_nationkey', '42')} AS h FROM nation), c AS (SELECT n_nationkey, (sum(w) OVER (ORDER BY h) - w) / (sum(w) OVER ())::DOUBLE AS lo, sum(w) OVER (ORDER BY h) / (sum(w) OVER ())::DOUBLE AS hi FROM o)
+SELECT draw, n_nationkey FROM (SELECT range AS draw, {draw_sql('range', '42')} / 4503599627370496.0 AS u FROM range(1000)) JOIN c ON u >= lo AND u < hi""")
 def sp4(spark, folder):
     return sp.weighted_draws(table(spark, folder, "nation").select("n_nationkey", (F.col("n_nationkey") % 5 + 1).alias("w")), "n_nationkey", "w", 1000)
 
 
-@REGISTRY.add("SP5_epoch_shuffle")
+@REGISTRY.add("SP5_epoch_shuffle", f"SELECT vec_id, row_number() OVER (ORDER BY {draw_sql('vec_id', '3', '42')}) - 1 AS place FROM embeddings")
 def sp5(spark, folder):
     return sp.shuffled(table(spark, folder, "embeddings").select("vec_id"), "vec_id", 3)
 
 
-@REGISTRY.add("SP6_uniform_sample")
+@REGISTRY.add("SP6_uniform_sample", f"SELECT event_id FROM events ORDER BY {draw_sql('event_id', '42')}, event_id LIMIT 500")
 def sp6(spark, folder):
     return sp.sample(table(spark, folder, "events").select("event_id"), "event_id", 500)
 
 
-@REGISTRY.add("SP7_representative_set")
+@REGISTRY.add("SP7_representative_set", f"""WITH {S}, r AS (SELECT row_id, y, row_number() OVER (PARTITION BY y ORDER BY {draw_sql('row_id', '42')}, row_id) - 1 AS i FROM s)
+SELECT row_id, CASE WHEN y = 1 THEN i * 3 + 2 ELSE i // 2 * 3 + i % 2 END AS place FROM r WHERE i < CASE WHEN y = 1 THEN 100 ELSE 200 END""")
 def sp7(spark, folder):
     return sp.representative_set(stream(spark, folder).select("row_id", "y"), "row_id", F.col("y") == 1, 300, 2)
 
 
-@REGISTRY.add("SP8_subsample_cap")
+@REGISTRY.add("SP8_subsample_cap", f"SELECT doc_id FROM documents ORDER BY {draw_sql('doc_id', '8')}, doc_id LIMIT 200")
 def sp8(spark, folder):
     return sp.sample(table(spark, folder, "documents").select("doc_id"), "doc_id", 200, seed=8)
 
@@ -293,10 +325,10 @@ def sf18(spark, folder):
     return table(spark, folder, "embeddings").select("vec_id", z.alias("z")).select("vec_id", F.round(F.array_max(F.transform("z", lambda v: F.abs(v))), 4).alias("peak"), F.size("z").alias("size"))
 
 
-@REGISTRY.add("SF29_log_uniform")
+@REGISTRY.add("SF29_log_uniform", f"SELECT p_partkey, round(exp(ln(1e-4::DOUBLE) + u * (ln(1e-1::DOUBLE) - ln(1e-4::DOUBLE))), 9) AS rate, round(0.2 + u * 0.6, 9) AS share FROM (SELECT p_partkey, {draw_sql('p_partkey', '29')} / 4503599627370496.0 AS u FROM part)")
 def sf29(spark, folder):
     u = sp.uniform(F.col("p_partkey"), F.lit(29))
-    return table(spark, folder, "part").select("p_partkey", F.exp(F.log(F.lit(1e-4)) + u * (F.log(F.lit(1e-1)) - F.log(F.lit(1e-4)))).alias("rate"), (0.2 + u * 0.6).alias("share"))
+    return table(spark, folder, "part").select("p_partkey", F.round(F.exp(F.log(F.lit(1e-4)) + u * (F.log(F.lit(1e-1)) - F.log(F.lit(1e-4)))), 9).alias("rate"), F.round(0.2 + u * 0.6, 9).alias("share"))
 
 
 # ---- sources and sinks
@@ -436,11 +468,11 @@ def sc16_nonfinite(spark, folder):
     return q.select("score_id", F.to_json(F.struct("score_id", finite(F.col("wqi")).alias("wqi"))).alias("doc"))
 
 
-@REGISTRY.add("QG16_phonetic_report")
+@REGISTRY.add("QG16_phonetic_report", f"SELECT text, n_files, score, CASE WHEN score >= 0.82 THEN 'HIGH' WHEN score >= 0.72 THEN 'MEDIUM' ELSE 'LOW' END AS risk FROM (SELECT text, count(*) AS n_files, round_even(jaro_winkler_similarity(regexp_replace(text, '[^ -~]', '?', 'g'), 'hey tessera'), 4) AS score FROM ({TEXTS_SQL}) GROUP BY text)")
 def phonetic(spark, folder):
     """Texts of file names, their similarity to a wake word, the best row per text and its risk."""
     from earshot.functions.scalars import risk
 
     texts = records(spark, folder).groupBy(spoken_text(F.col("path")).alias("text")).agg(F.count(F.lit(1)).alias("n_files"))
     scored = texts.withColumn("score", F.bround(jaro_winkler(F.col("text"), F.lit("hey tessera")), 4))
-    return scored.select("text", "n_files", "score", risk(F.col("score")).alias("risk")).where("score >= 0.5").orderBy(F.desc("score"), "text")
+    return scored.select("text", "n_files", "score", risk(F.col("score")).alias("risk")).orderBy(F.desc("score"), "text")

@@ -144,7 +144,11 @@ def phases(spark, folder):
     return r6(_numbered(spark, folder).join(F.broadcast(c), (F.col("i") >= F.col("lo")) & (F.col("i") < F.col("hi"))).select("row_id", "phase", "lr", ((F.col("i") - F.col("lo")) / (F.col("hi") - F.col("lo"))).alias("progress")), 6).withColumn("lr", F.when(F.col("phase") == 2, F.lit(0.00001)).otherwise(F.col("lr")))
 
 
-@REGISTRY.add("WN17_plateau_machine")
+@REGISTRY.add("WN17_plateau_machine", f"""WITH RECURSIVE {S}, {_N}, f AS (SELECT clip, -1::BIGINT AS i, 0 AS run, 0 AS reduced, 'none' AS action, false AS stopped FROM n WHERE i = 0
+  UNION ALL SELECT clip, i, CASE WHEN NOT stopped AND next >= 3 AND reduced < 2 THEN 0 ELSE next END, CASE WHEN NOT stopped AND next >= 3 AND reduced < 2 THEN reduced + 1 ELSE reduced END,
+    CASE WHEN stopped OR next < 3 THEN 'none' WHEN reduced < 2 THEN 'reduce' ELSE 'stop' END, stopped OR (next >= 3 AND reduced = 2)
+    FROM (SELECT n.clip, n.i, CASE WHEN f.stopped THEN f.run WHEN n.score < 0.5 THEN f.run + 1 ELSE 0 END AS next, f.reduced, f.stopped FROM f JOIN n ON n.clip = f.clip AND n.i = f.i + 1))
+SELECT clip, i, run, action, pow(0.5, reduced) AS factor FROM f WHERE i >= 0""")
 def plateau(spark, folder):
     rows = _events(spark, folder).withColumn("flat", F.col("score") < 0.5)
     m = od.Plateau(rows.columns.index("flat"), 3, 2, 0.5)

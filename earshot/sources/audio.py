@@ -135,11 +135,43 @@ def wav_samples(content: Column) -> Column:
     return run(content)
 
 
+def pcm_ints(b: bytes | None) -> list[int] | None:
+    """16-bit samples of 8-bit unsigned, 16, 24 or 32-bit PCM: wider ones lose their low bits, two or more channels give their average rounded down. None if it can't be read."""
+    if b is None:
+        return None
+    try:
+        fmt, start, size = _probe(b)
+    except ValueError:
+        return None
+    width, raw = fmt["bits"] // 8, b[start : start + size]
+    if width not in (1, 2, 3, 4):
+        return None
+    u = np.frombuffer(raw[: len(raw) // fmt["block"] * fmt["block"]], np.uint8).reshape(-1, width).astype(np.int64)
+    value = sum(u[:, k] << 8 * k for k in range(width))
+    value = value - 128 if width == 1 else np.where(value >= 1 << 8 * width - 1, value - (1 << 8 * width), value)
+    v16 = value << 8 if width == 1 else value >> 8 * (width - 2)
+    return (v16.reshape(-1, fmt["channels"]).sum(1) // fmt["channels"]).tolist()
+
+
+def wav_ints(content: Column) -> Column:
+    @F.pandas_udf("array<int>")
+    def run(x: pd.Series) -> pd.Series:
+        return pd.Series([pcm_ints(b) for b in x], dtype="object")
+
+    return run(content)
+
+
+def wav_header(size: int, rate: int = 16000, bits: int = 16, channels: int = 1) -> bytes:
+    """The 44 bytes in front of `size` bytes of samples."""
+    width = bits // 8
+    return b"RIFF" + struct.pack("<I", 36 + size) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, channels, rate, rate * width * channels, width * channels, bits) + b"data" + struct.pack("<I", size)
+
+
 def wav_bytes(samples: Sequence[float], rate: int = 16000, bits: int = 16, channels: int = 1) -> bytes:
     width = bits // 8
     ints = [max(-(1 << bits - 1), min((1 << bits - 1) - 1, round(v * (1 << bits - 1)))) for v in samples]
     data = bytes((v + 128) & 255 for v in ints) if width == 1 else b"".join(v.to_bytes(width, "little", signed=True) for v in ints)
-    return b"RIFF" + struct.pack("<I", 36 + len(data)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, channels, rate, rate * width * channels, width * channels, bits) + b"data" + struct.pack("<I", len(data)) + data
+    return wav_header(len(data), rate, bits, channels) + data
 
 
 def synthetic_corpus(spark: SparkSession, counts: dict[str, int] | None = None, seconds: float = 1.0, seed: int = 42) -> DataFrame:

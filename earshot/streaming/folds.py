@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from earshot.operators.quantiles import exact_percentiles
+
 
 def fold_stream(df: DataFrame, keys: Sequence[str], order: Sequence[str], machine: Any, schema: str) -> DataFrame:
     """`operators.ordered.fold` on a stream: rows of a key are taken in order within each micro-batch and the state goes on to the next. Rows that come later than a batch with later
@@ -151,3 +153,12 @@ class BackgroundMiner:
 
     def result(self, spark) -> DataFrame:
         return spark.read.parquet(f"{self.path}/{self.batch}")
+
+
+def gap_statistics(df: DataFrame, batch: str, stream: str, tolerance: float) -> DataFrame:
+    """One row of how far a stream's values are from those of a batch: number, mean, largest and median of the absolute gaps, deviation of the gaps, and whether all are within the tolerance."""
+    gaps = df.select((F.col(batch) - F.col(stream)).alias("gap"))
+    far = F.abs(F.col("gap"))
+    facts = gaps.agg(F.count(F.lit(1)).alias("n"), F.avg(far).alias("mean_gap"), F.max(far).alias("max_gap"), F.stddev_pop("gap").alias("std_gap"), (F.max(far) < tolerance).alias("passes"))
+    middle = exact_percentiles(gaps.select(far.alias("gap")), [], "gap", {"median_gap": 0.5})
+    return facts.crossJoin(F.broadcast(middle)).select("n", "mean_gap", "max_gap", F.col("median_gap"), "std_gap", "passes")  # one row each

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from hypothesis import given, settings, strategies as hs
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions import arrays as ar, scalars as sf
 from earshot.functions.similar_text import jaro_winkler_py
-from earshot.functions.snr import snr, snr_py
+from earshot.functions.snr import snr
 from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
 from earshot.functions.text import named, plain, plain_py
 
@@ -79,9 +80,17 @@ def test_arrays(spark):
 
 
 def test_snr(spark):
-    values = [[], [0.0] * 10, [0.5, -0.2, 0.1, 0.05] * 50, [math.sin(i / 3) for i in range(400)], [1e-6 if i % 97 else 1.0 for i in range(500)]]
-    got = apply(spark, values, snr, "array<double>")
-    assert got == pytest.approx([snr_py(v) for v in values]) and all(-20 <= g <= 100 for g in got) and got[:2] == [-20.0, -20.0]
+    r = random.Random(3)
+    tone = [math.copysign(r.gammavariate(0.4, 1.0), r.random() - 0.5) for _ in range(6000)]  # speech-like amplitudes, as the method takes them
+
+    def mixed(db):
+        power = sum(x * x for x in tone) / len(tone)
+        sigma = math.sqrt(power / 10 ** (db / 10))
+        return [x + r.gauss(0, sigma) for x in tone]
+
+    got = apply(spark, [[], [0.0] * 10, [1e-6 if i % 97 else 1.0 for i in range(500)], *[mixed(db) for db in (0, 5, 10, 15, 20)]], snr, "array<double>")
+    assert got[:2] == [-20.0, -20.0] and all(-20 <= g <= 100 for g in got)
+    assert got[3:] == sorted(got[3:]) and got[3:] == pytest.approx([0, 5, 10, 15, 20], abs=3)
 
 
 def test_jaro_winkler():
