@@ -43,3 +43,13 @@ def test_heavy_rows_are_spread(spark):
     df = spark.range(10_000).selectExpr("id", "'hot' as k")
     plan = salted_aggregate(df, "k", [Agg("n", "count")], salt_by=["id"])
     assert plan.first().n == 10_000 and heavy_keys(df, "k", 0.01) == ["hot"]
+
+
+def test_no_heavy_key_is_missed(spark):
+    r = random.Random(2)
+    data = [(i, None if i % 10 == 0 else "hot" if i % 3 == 0 else f"k{r.randint(0, 90)}" if i % 2 else f"rare{i}") for i in range(40_000)]
+    df = spark.createDataFrame(data, "id bigint, k string").repartition(7)
+    counts = {k: sum(d[1] == k for d in data) for k in {d[1] for d in data if not (d[1] or "").startswith("rare")}}
+    for share in (0.3, 0.05, 0.002):
+        found = heavy_keys(df, "k", share)
+        assert {k for k, n in counts.items() if n >= 40_000 * share} <= set(found) and all(counts.get(k, 1) >= 40_000 * share * 0.8 for k in found)
