@@ -67,3 +67,14 @@ def test_empty_and_bad(spark):
         co.source_cutoffs(frame(spark, []), spark.createDataFrame([("a", 101)], "n string, p int"), **ARGS)
     with pytest.raises(ValueError):
         co.source_cutoffs(frame(spark, []), spark.createDataFrame([("a", 1), ("b", 1)], "n string, p int"), most_targets=1, **ARGS)
+
+
+def test_brackets_are_parted_until_few_values_are_left(spark):
+    r = random.Random(6)
+    data = [("kitchen_far" if r.random() < 0.7 else "car", r.random() if r.random() < 0.8 else round(r.random(), 1)) for _ in range(6000)]
+    scores = spark.createDataFrame(data, "s string, v double")
+    for pct in (1, 37, 50, 99, 100):
+        targets = spark.createDataFrame([("kitchen_far", pct), ("car", 100 - pct)], "n string, p int")
+        whole = co.source_cutoffs(scores, targets, source="s", value="v", keep=[]).table
+        parted = co.source_cutoffs(scores, targets, source="s", value="v", keep=[], accuracy=20, most_sorted=3).table
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parted.collect())) and whole.count() == 2
