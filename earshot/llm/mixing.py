@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from earshot.functions.text import named
 from earshot.llm.cutoffs import bounded
 from earshot.session import cut
+from earshot.worker import kept
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that the tokenizer's vocabulary goes with.
@@ -17,20 +19,23 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LEVEL_BITS = 12
 
 
-
-
 def with_token_counts(documents: DataFrame, text: str, keep: list[str], tokenizer: str = TOKENIZER) -> DataFrame:
-    """The columns `keep` and `n_tokens`, the tokens of the whole text by a public byte-level vocabulary whose file each worker reads. Null and empty texts have 0."""
+    """The columns `keep` and `n_tokens`, the tokens of the whole text by a public byte-level vocabulary. Its file goes to each executor once, and a worker builds it once. Null and empty texts have 0."""
     schema = documents.select(*keep).schema.add("n_tokens", T.LongType())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with open(tokenizer, "rb") as f:
+        sent, name = documents.sparkSession.sparkContext.broadcast(f.read()), f"tokenizer {uuid.uuid4().hex}"  # as large as the vocabulary's file
+
+    def encoding():
         import base64
 
         import tiktoken
 
-        with open(tokenizer, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, sent.value.splitlines())}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = kept(name, encoding).encode_ordinary
         for batch in batches:
             n = pa.array([len(encode(t)) if t else 0 for t in batch.column(len(keep)).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], n], names=[*keep, "n_tokens"])
@@ -85,7 +90,8 @@ def mix(documents: DataFrame, targets: DataFrame, *, doc_id: str = "doc_id", tex
 def _thresholds(rows: DataFrame, budget: dict[str, float]) -> dict[str, int]:
     """source -> the hash below which, as unsigned numbers, the documents' tokens come nearest to the budget.
 
-    Level by level one pass over the boundary buckets only; sources x 2^12 sums at most reach the driver."""
+    Level by level the tokens of a source's boundary bucket are summed by 2^12 smaller buckets, and the one in which the budget ends is the next boundary. After the first level only the rows
+    of boundary buckets are kept, one in 2^12; of a level a row per source reaches the driver."""
     spark, prefix, open_ = rows.sparkSession, dict.fromkeys(budget, 0), dict(budget)
     for level in range((64 + LEVEL_BITS - 1) // LEVEL_BITS):
         if not open_:
@@ -93,24 +99,23 @@ def _thresholds(rows: DataFrame, budget: dict[str, float]) -> dict[str, int]:
         bits = min(LEVEL_BITS, 64 - level * LEVEL_BITS)
         bucket = F.shiftrightunsigned(F.shiftleft("h", level * LEVEL_BITS), 64 - bits).cast("int")
         above = F.shiftrightunsigned("h", 64 - level * LEVEL_BITS) if level else F.lit(0).cast("bigint")
-        at = spark.createDataFrame([(s, prefix[s]) for s in open_], "source string, prefix bigint")
+        at = spark.createDataFrame([(s, prefix[s], rest) for s, rest in open_.items()], "source string, prefix bigint, rest double")
         inside = rows.join(F.broadcast(at), "source").where(above == F.col("prefix"))  # a row per target at most
-        sums: dict[str, dict[int, int]] = {}
-        for r in inside.groupBy("source", bucket.alias("bucket")).agg(F.sum("n_tokens").alias("n")).collect():
-            sums.setdefault(r["source"], {})[r["bucket"]] = r["n"]
+        if level:
+            rows = cut(inside.select("source", "h", "n_tokens"), "boundary")
+            inside = rows.join(F.broadcast(at), "source")
+        up_to = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)  # 2^12 rows a source
+        sums = inside.groupBy("source", "rest", bucket.alias("bucket")).agg(F.sum("n_tokens").alias("n")).withColumn("so_far", F.sum("n").over(up_to))
+        edges = {r["source"]: r["e"] for r in sums.where(F.col("so_far") > F.col("rest")).groupBy("source").agg(F.min(F.struct("bucket", "so_far", "n")).alias("e")).collect()}
         for s in list(open_):
-            rest, edge = open_[s], None
-            for b in sorted(sums.get(s, {})):
-                if sums[s][b] > rest:
-                    edge = b
-                    break
-                rest -= sums[s][b]
-            if edge is None:  # the whole bucket fits
+            if s not in edges:  # the whole bucket fits
                 prefix[s] = ((prefix[s] + 1) << (64 - level * LEVEL_BITS)) if level else 2**64 - 1
                 del open_[s]
             else:
+                edge, so_far, n = edges[s]
+                rest = open_[s] - (so_far - n)
                 prefix[s], open_[s] = (prefix[s] << bits) | edge, rest
-                if (level + 1) * LEVEL_BITS >= 64 and sums[s][edge] - rest < rest:  # with the document of this hash the source comes nearer to its budget
+                if (level + 1) * LEVEL_BITS >= 64 and n - rest < rest:  # with the document of this hash the source comes nearer to its budget
                     prefix[s] += 1
     signed = lambda x: x - 2**64 if x >= 2**63 else x
     return {s: signed(min(p, 2**64 - 1)) for s, p in prefix.items()}
