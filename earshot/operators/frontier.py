@@ -4,19 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from earshot.session import cut
 
-def skyline(df: DataFrame, low: str, *high: str) -> DataFrame:
+
+def skyline(df: DataFrame, low: str, *high: str, alone: int = 20_000) -> DataFrame:
     """The rows that no row dominates: none has `low` no larger and all of `high` no smaller, with one of them better. Equal rows stay together; rows with nulls are left out.
 
     For one `high` a running maximum over bucket totals does (no pairs). For more, each partition is first reduced to its own skyline, so that only those rows, few against all, are compared
-    with each other."""
+    with each other, by ranges where there are more than `alone`."""
     known = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (low, *high)))
     if len(high) == 1:
         return _skyline_2d(known, low, high[0])
     local = known.mapInPandas(lambda batches: _local(batches, low, high), known.schema)
-    # Skylines of skylines: by partitions of half the number, then in one.
-    narrow = local.repartition(8).mapInPandas(lambda batches: _local(batches, low, high), known.schema)
-    return narrow.coalesce(1).mapInPandas(lambda batches: _local(batches, low, high), known.schema)
+    return _merged(cut(local, "front"), low, high, alone)
+
+
+def _merged(front: DataFrame, low: str, high: tuple[str, ...], alone: int) -> DataFrame:
+    """The skyline of skylines of partitions: in one task up to `alone` rows, else by ranges of `low`.
+
+    A row can only be dominated from its own range or a lower one, and by a range only if the corner of that range's bounds dominates the lowest bounds of the row's; rows visit just those."""
+    n = front.count()
+    if n <= alone:
+        return front.coalesce(1).mapInPandas(lambda batches: _local(batches, low, high), front.schema)
+    k = -(-n // alone)
+    edges = sorted(set(front.approxQuantile(low, [i / k for i in range(1, k)], 0.2 / k)))
+    ranged = front.withColumn("_range", sum((F.when(F.col(low) > e, 1).otherwise(0) for e in edges), F.lit(0)))
+    bounds = ranged.groupBy("_range").agg(F.max(low), *[f(c) for c in high for f in (F.min, F.max)]).orderBy("_range").collect()  # a row per range
+    visits = {r[0]: [o[0] for o in bounds if o[0] >= r[0] and all(r[2 * i + 3] >= o[2 * i + 2] for i in range(len(high)))] for r in bounds}
+    to = F.create_map(*[x for r, t in visits.items() for x in (F.lit(r), F.array(*map(F.lit, t)))])
+    sent = ranged.withColumn("_to", F.explode(F.element_at(to, F.col("_range"))))
+    schema = front.schema
+
+    def survivors(pdf):
+        here = pdf["_range"] == pdf["_to"]
+        kept = _dominant(pdf, low, high)
+        return pdf[here & kept][schema.names]
+
+    return sent.groupBy("_to").applyInPandas(survivors, schema)
 
 
 def _skyline_2d(known: DataFrame, low: str, high: str) -> DataFrame:
@@ -35,22 +59,39 @@ def _skyline_2d(known: DataFrame, low: str, high: str) -> DataFrame:
     return known.join(keep, (F.col(low) == F.col("_x")) & (F.col(high) == F.col("_y"))).drop("_x", "_y")
 
 
-def _local(batches, low: str, high):
+def _dominant(pdf, low: str, high: tuple[str, ...]):
+    """Which rows no other dominates, by blocks of rows in the order of falling sums, so that what dominates comes first."""
     import numpy as np
+
+    points = np.column_stack([-pdf[low].to_numpy(float), *(pdf[c].to_numpy(float) for c in high)])
+    unique, back = np.unique(points, axis=0, return_inverse=True)
+    order = np.argsort(-unique.sum(1), kind="stable")
+    front = np.zeros((0, points.shape[1]))
+    kept = np.zeros(len(unique), bool)
+    for at in range(0, len(order), 256):
+        some = order[at : at + 256]
+        x = unique[some]
+        beaten = np.zeros(len(x), bool)
+        for lo in range(0, len(front), 8192):
+            left = np.flatnonzero(~beaten)
+            beaten[left] = (front[None, lo : lo + 8192] >= x[left, None]).all(2).any(1)
+        left = np.flatnonzero(~beaten)
+        y = x[left]
+        inside = (y[None, :] >= y[:, None]).all(2)
+        np.fill_diagonal(inside, False)
+        good = left[~inside.any(1)]
+        kept[some[good]] = True
+        front = np.concatenate([front, x[good]])
+    return kept[back.ravel()]
+
+
+def _local(batches, low: str, high):
     import pandas as pd
 
     kept = None
     for pdf in batches:
         kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-        points = np.column_stack([-kept[low].to_numpy(float), *(kept[c].to_numpy(float) for c in high)])
-        # By falling sum, so that what dominates comes first.
-        order = np.argsort(-points.sum(1), kind="stable")
-        front: list[int] = []
-        for i in order:
-            p = points[front]
-            if not (len(front) and ((p >= points[i]).all(1) & (p > points[i]).any(1)).any()):
-                front.append(i)
-        kept = kept.iloc[sorted(front)]
+        kept = kept[_dominant(kept, low, high)]
     if kept is not None:
         yield kept
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,54 +21,57 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return m / np.where(n == 0, 1.0, n)
 
 
-def best_match(queries: DataFrame, base: DataFrame, *, vec_id: str, vector: str, threshold: float, block: int = 4096) -> DataFrame:
+def best_match(queries: DataFrame, base: DataFrame, *, vec_id: str, vector: str, threshold: float, block_bytes: int = 64_000_000) -> DataFrame:
     """(query_id, match_id, similarity): each query's most similar row of `base` by cosine, if it reaches the threshold; ties by the least id. A query isn't matched with its own id.
 
-    Queries go in blocks of `block`, each shipped to the tasks of one scan of `base`; a task returns one row per query, which are reduced by key. Null ids and vectors take no part."""
+    Queries are taken in blocks by hash of about `block_bytes` bytes of single-precision values, one block at a time on the driver. A block goes to each executor once, and one scan of `base`
+    keeps a best row per query and task, which are reduced by key and, with several blocks, written before the next. So there are as many scans as blocks. Null ids and vectors take no part."""
     known = lambda d: d.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("v"))
     q, b = known(queries), known(base)
-    n_blocks = max(1, -(-q.count() // block))
-    out = None
+    n_values = q.agg(F.coalesce(F.sum(F.size("v")), F.lit(0))).first()[0]
+    n_blocks = max(1, -(-n_values * 4 // block_bytes))
+    parts = []
     for k in range(n_blocks):
-        rows = q.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == k).collect()  # a block
-        ids = np.array([r["id"] for r in rows], np.int64)
-        m = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 1))
-        n = np.linalg.norm(m, axis=1, keepdims=True)
-        m = m / np.where(n == 0, 1.0, n)
+        held = q.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == k).toArrow()  # a block
+        sent = q.sparkSession.sparkContext.broadcast((held.column(0).to_numpy(), _matrix(held.column(1).combine_chunks()).astype(np.float32)))
 
-        def scan(batches: Iterator[pa.RecordBatch], ids=ids, m=m) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ids, m = sent.value
             best, who = np.full(len(ids), -2.0), np.full(len(ids), -1, np.int64)
             for batch in batches:
                 if not len(ids) or not batch.num_rows:
                     continue
                 own = batch.column(0).to_numpy(zero_copy_only=False)
-                s = m @ _matrix(batch.column(1)).T
-                s[ids[:, None] == own[None, :]] = -2.0
-                order = np.lexsort((own,))
-                i = order[s[:, order].argmax(1)]
-                v = s[np.arange(len(ids)), i]
-                better = (v > best) | ((v == best) & (own[i] < who))
-                best, who = np.where(better, v, best), np.where(better, own[i], who)
+                order = np.argsort(own, kind="stable")
+                own, x = own[order], _matrix(batch.column(1))[order].T
+                for at in range(0, len(ids), 1024):  # some queries at a time, so that the products stay small
+                    part = slice(at, at + 1024)
+                    s = m[part].astype(np.float64) @ x
+                    s[ids[part, None] == own[None, :]] = -2.0
+                    i = s.argmax(1)
+                    v = s[np.arange(len(i)), i]
+                    better = (v > best[part]) | ((v == best[part]) & (own[i] < who[part]))
+                    best[part], who[part] = np.where(better, v, best[part]), np.where(better, own[i], who[part])
             ok = best >= threshold
             yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(who[ok]), pa.array(best[ok])], ["query_id", "match_id", "similarity"])
 
-        part = b.mapInArrow(scan, "query_id bigint, match_id bigint, similarity double")
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("query_id").agg(F.max("similarity").alias("similarity"), F.max_by("match_id", F.struct("similarity", -F.col("match_id"))).alias("match_id")).select("query_id", "match_id", "similarity")
+        found = b.mapInArrow(scan, "query_id bigint, match_id bigint, similarity double")
+        found = found.groupBy("query_id").agg(F.max(F.struct("similarity", -F.col("match_id"))).alias("x")).select("query_id", (-F.col("x.col2")).alias("match_id"), "x.similarity")
+        parts.append(found if n_blocks == 1 else cut(found, "matches"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def similar_pairs(df: DataFrame, *, vec_id: str, vector: str, threshold: float, pivots: int = 64, chunk: int = 4096) -> tuple[DataFrame, DataFrame]:
     """(pairs, membership): pairs (a, b, similarity), a < b, of class representatives whose cosine reaches the threshold, and (id, class_id) of every row. No link between different vectors is
     lost; equal vectors are one class, named by its least id, and aren't paired with each other.
 
-    Representatives go to the cell of the nearest of `pivots` pivots (a bounded sample: those of the least hashes), a cell's rows to chunks of about `chunk` by hash. By the triangle
+    Representatives go to the cell of the nearest of `pivots` pivots (a bounded sample: those of the least hashes), and by hash to one of as many chunks of about `chunk` as the cell's size asks for. By the triangle
     inequality of angles a row is also sent, as a guest, to the cells whose members can lie within the threshold's angle; each chunk is held as a matrix and its guests stream past."""
     rows = df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).select(F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("v"))
     hashed = rows.withColumn("h", F.sha2(F.to_json(F.struct("v")), 256))
     classes = hashed.groupBy("h").agg(F.min("id").alias("class_id"))
     membership = hashed.select("id", "h").join(classes, "h").select("id", "class_id")
     reps = cut(hashed.groupBy("h").agg(F.min_by(F.struct("id", "v"), "id").alias("r")).select("r.*"), "representatives")
-    total = reps.count()
     sample = [r["v"] for r in reps.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()]
     if not sample:
         return reps.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("similarity")).limit(0), membership
@@ -75,7 +79,6 @@ def similar_pairs(df: DataFrame, *, vec_id: str, vector: str, threshold: float,
     norms = np.linalg.norm(p, axis=1, keepdims=True)
     p = p / np.where(norms == 0, 1.0, norms)
     reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-9
-    n_chunks = max(1, -(-total // (len(sample) * chunk)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,12 +92,18 @@ def similar_pairs(df: DataFrame, *, vec_id: str, vector: str, threshold: float,
             is_home = home[r] == c
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), pa.array(~is_home), pa.array(ids[r]), batch.column(1).take(pa.array(r))], ["cell", "guest", "id", "v"])
 
+    def at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            home = np.arccos(np.clip(_matrix(batch.column(1)) @ p.T, -1, 1)).argmin(1)
+            yield pa.RecordBatch.from_arrays([pa.array(home.astype(np.int32))], ["home"])
+
     kind = reps.schema["v"].dataType.simpleString()
     sent = reps.mapInArrow(assign, f"cell int, guest boolean, id bigint, v {kind}")
-    own_chunk = F.pmod(F.xxhash64("id"), F.lit(n_chunks)).cast("int")
-    homes = sent.where(~F.col("guest")).withColumn("chunk", own_chunk).withColumn("held", F.lit(0))
+    sizes = {r["home"]: r["n"] for r in reps.mapInArrow(at_home, "home int").groupBy("home").agg(F.count(F.lit(1)).alias("n")).collect()}  # `pivots` rows at most
+    n_chunks = F.element_at(F.array(*[F.lit(max(1, -(-sizes.get(c, 0) // chunk))) for c in range(len(sample))]), F.col("cell") + 1)
+    homes = sent.where(~F.col("guest")).withColumn("chunk", F.pmod(F.xxhash64("id"), n_chunks).cast("int")).withColumn("held", F.lit(0))
     # Within a cell a row passes by the chunks of its cell too; guests pass by all of them.
-    passing = sent.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))).withColumn("held", F.lit(1))
+    passing = sent.withColumn("chunk", F.explode(F.sequence(F.lit(0), n_chunks - 1))).withColumn("held", F.lit(1))
     tasks = homes.unionByName(passing).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "held", "id").select("cell", "chunk", "held", "id", "v")
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,29 +319,32 @@ def adaptive_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: fl
 
 
 def farthest_points(df: DataFrame, *, vec_id: str, vector: str, group: str, k: int) -> DataFrame:
-    """(group, id, rank): k rows per group, the first by id and then each the one farthest from all chosen. Each of the k rounds is a scan with map-side maxima; a group is never gathered."""
-    rows = cut(df.where(F.col(vector).isNotNull()).select(F.col(group).alias("group"), F.col(vec_id).alias("id"), F.col(vector).alias("v")).withColumn("far", F.lit(float("inf"))), "points")
-    kind = "double"
-    chosen = None
-    for r in range(k):
-        top = rows.groupBy("group").agg(F.max_by(F.struct("id", "v", "far"), F.struct("far", -F.col("id"))).alias("t")).select("group", F.col("t.id").alias("cid"), F.col("t.v").alias("cv"), F.col("t.far").alias("cfar"))
-        top = top.where(F.col("cfar") >= 0)
-        pick = top.select("group", F.col("cid").alias("id"), F.lit(r).alias("rank"))
-        chosen = pick if chosen is None else chosen.unionByName(pick)
-        if r + 1 < k:
-            d = F.sqrt(F.aggregate(F.zip_with("v", "cv", lambda a, b: F.pow(a.cast(kind) - b.cast(kind), 2)), F.lit(0.0), lambda a, x: a + x))
-            rows = cut(rows.join(top, "group", "left").select("group", "id", "v", F.when(F.col("id") == F.col("cid"), -1.0).otherwise(F.least("far", d)).alias("far")), "points")
-    return chosen
+    """(group, id, rank): k rows per group, the first by id and then each the one farthest from all chosen; ties by the least id.
+
+    Each of the k rounds is a scan with map-side maxima, which measures every row against its group's chosen ones; only these, k a group, are written. A group is never gathered."""
+    rows = df.where(F.col(vector).isNotNull() & F.col(vec_id).isNotNull()).select(F.col(group).alias("group"), F.col(vec_id).alias("id"), F.col(vector).alias("v"))
+    square = lambda v, w: F.aggregate(F.zip_with(v, w, lambda a, b: F.pow(a.cast("double") - b.cast("double"), 2)), F.lit(0.0), lambda a, x: a + x)
+    chosen = cut(rows.groupBy("group").agg(F.min_by(F.struct("id", "v"), "id").alias("t")).select("group", F.lit(0).alias("rank"), "t.id", "t.v"), "points")
+    for r in range(1, k):
+        held = chosen.groupBy(F.col("group").alias("_g")).agg(F.collect_list(F.struct("id", "v")).alias("c"))  # k a group at most
+        met = rows.join(held, F.col("group").eqNullSafe(F.col("_g"))).where(~F.exists("c", lambda x: x["id"] == F.col("id")))
+        far = met.withColumn("far", F.array_min(F.transform("c", lambda x: square(F.col("v"), x["v"]))))
+        top = far.groupBy("group").agg(F.max_by(F.struct("id", "v"), F.struct("far", -F.col("id"))).alias("t")).select("group", F.lit(r).alias("rank"), "t.id", "t.v")
+        chosen = cut(chosen.unionByName(top), "points")
+    return chosen.select("group", "id", "rank")
 
 
 def closest_to_centroid(df: DataFrame, *, vec_id: str, vector: str, group: str, k: int) -> DataFrame:
     """(group, id, distance): the k rows of each group nearest to its mean vector; ties by id."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     from earshot.operators.curation import top_per_group
 
     rows = df.where(F.col(vector).isNotNull()).select(F.col(group).alias("group"), F.col(vec_id).alias("id"), F.col(vector).alias("v"))
-    mean = rows.select("group", F.posexplode("v").alias("i", "x")).groupBy("group", "i").agg(F.avg("x").alias("m")).groupBy("group").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("c"))
+    mean = rows.groupBy(F.col("group").alias("_g")).agg(vector_to_array(Summarizer.mean(array_to_vector(F.col("v").cast("array<double>")))).alias("c"))
     d = F.sqrt(F.aggregate(F.zip_with("v", "c", lambda a, b: F.pow(a.cast("double") - b, 2)), F.lit(0.0), lambda a, x: a + x))
-    near = rows.join(mean, "group").select("group", "id", F.round(d, 9).alias("distance"))
+    near = rows.join(mean, F.col("group").eqNullSafe(F.col("_g"))).select("group", "id", F.round(d, 9).alias("distance"))
     return top_per_group(near, ["group"], k, F.col("distance"), F.col("id"))
 
 
@@ -354,17 +366,18 @@ def vectors(df: DataFrame, *, keep: list[str], payload: str, model, width: int)
 
 
 def hashed_words(width: int = 64):
-    """A model for `vectors`: counts of a text's words by hash, a sign from the hash, of length one."""
+    """A model for `vectors`: counts of a text's words of plain letters and digits by hash, a sign from the hash, of length one."""
 
     def model(texts: list[str]) -> np.ndarray:
+        import hashlib
         import re
-        import zlib
+        from collections import Counter
 
         m = np.zeros((len(texts), width))
         for i, t in enumerate(texts):
-            for w in re.findall(r"\w+", t.lower()):
-                h = zlib.crc32(w.encode())
-                m[i, h % width] += 1 if h >> 16 & 1 else -1
+            for w, n in Counter(re.findall(r"[a-z0-9]+", t.lower())).items():
+                h = int(hashlib.md5(w.encode()).hexdigest()[:8], 16)
+                m[i, h % width] += n if h >> 16 & 1 else -n
         n = np.linalg.norm(m, axis=1, keepdims=True)
         return m / np.where(n == 0, 1.0, n)
 

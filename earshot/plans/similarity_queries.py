@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from earshot.functions import arrays as ar
 from earshot.operators import similarity as sm
 from earshot.operators.curation import top_per_group
 from earshot.operators.graph import components
@@ -69,12 +70,13 @@ def cl7(spark, folder):
     return d.groupBy("h").agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-@REGISTRY.add("CL8_embedding_extraction", "SELECT count(text) AS n, count(text) FILTER (regexp_matches(text, '[A-Za-z0-9]')) AS n_unit FROM documents")
+@REGISTRY.add("CL8_embedding_extraction", """WITH w AS (SELECT doc_id, n_row, ('0x' || left(md5(unnest(regexp_extract_all(lower(text), '[a-z0-9]+'))), 8))::BIGINT AS h FROM (SELECT doc_id, text, row_number() OVER () AS n_row FROM documents)),
+x AS (SELECT n_row, doc_id, h % 64 AS i, sum(CASE WHEN (h >> 16) & 1 = 1 THEN 1 ELSE -1 END) AS x FROM w GROUP BY ALL), n AS (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY n_row)) AS norm FROM x), v AS (SELECT n_row, doc_id, sum(CASE WHEN norm = 0 THEN 0 ELSE (x / norm)::FLOAT::DOUBLE * (i + 1) END) AS placed FROM n GROUP BY ALL)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN round(coalesce(placed, 0), 3) END AS placed FROM documents d LEFT JOIN v USING (doc_id)""")
 def cl8(spark, folder):
-    """Vectors of whole texts by a model run over batches; all but those of texts without words have length one."""
+    """Vectors of whole texts by a model run over batches, by the sum of their values times their places."""
     v = sm.vectors(table(spark, folder, "documents"), keep=["doc_id"], payload="text", model=sm.hashed_words(), width=64)
-    norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    return v.agg(F.count("vector").alias("n"), F.count_if(F.abs(norm - 1) < 1e-3).alias("n_unit"))
+    return v.select("doc_id", F.round(ar.placed(F.col("vector")), 3).alias("placed"))
 
 
 @REGISTRY.add("TK7_closest_to_centroid", """WITH x AS (SELECT label, vec_id, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings), c AS (SELECT label, i, avg(x::DOUBLE) AS m FROM x GROUP BY label, i), d AS (SELECT x.label, x.vec_id, round(sqrt(sum((x.x - c.m) * (x.x - c.m))), 6) AS d FROM x JOIN c USING (label, i) GROUP BY 1, 2)
@@ -83,9 +85,12 @@ def tk7(spark, folder):
     return sm.closest_to_centroid(table(spark, folder, "embeddings"), group="label", k=3, **_K).select(F.col("group").alias("grp"), "id")
 
 
-@REGISTRY.add("TK8_farthest_points")
+@REGISTRY.add("TK8_farthest_points", f"""WITH {_V}, a AS (SELECT label, min(vec_id) AS id FROM v GROUP BY label), ae AS (SELECT a.label, a.id, v.e FROM a JOIN v ON v.vec_id = a.id),
+d1 AS (SELECT v.label, v.vec_id, v.e, list_distance(v.e, ae.e) AS d FROM v JOIN ae USING (label) WHERE v.vec_id <> ae.id), b AS (SELECT label, first(vec_id ORDER BY d DESC, vec_id) AS id FROM d1 GROUP BY label), be AS (SELECT b.label, b.id, v.e FROM b JOIN v ON v.vec_id = b.id),
+d2 AS (SELECT d1.label, d1.vec_id, least(d1.d, list_distance(d1.e, be.e)) AS d FROM d1 JOIN be USING (label) WHERE d1.vec_id <> be.id), c AS (SELECT label, first(vec_id ORDER BY d DESC, vec_id) AS id FROM d2 GROUP BY label)
+SELECT label AS grp, id, 0 AS rank FROM a UNION ALL SELECT label, id, 1 FROM b UNION ALL SELECT label, id, 2 FROM c""")
 def tk8(spark, folder):
-    return sm.farthest_points(table(spark, folder, "embeddings"), group="label", k=3, **_K)
+    return sm.farthest_points(table(spark, folder, "embeddings"), group="label", k=3, **_K).withColumnRenamed("group", "grp")
 
 
 @REGISTRY.add("TK9_random_k_per_cluster", "SELECT vec_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(vec_id::VARCHAR), vec_id) AS r FROM embeddings) WHERE r <= 5")

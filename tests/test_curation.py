@@ -50,6 +50,8 @@ def test_skyline_against_pairs(spark):
     want = sorted(d[0] for d in data if not any(dominates(e[1:3], d[1:3]) for e in data))
     assert sorted(x.id for x in fr.skyline(df, "fah", "recall").collect()) == want
     assert fr.skyline(df.limit(0), "fah", "recall").count() == 0
+    by_ranges = fr.skyline(df, "fah", "recall", "pr", alone=5)
+    assert sorted(x.id for x in by_ranges.collect()) == sorted(x.id for x in fr.skyline(df, "fah", "recall", "pr").collect())
 
 
 def test_hypervolume_and_best(spark):
@@ -102,7 +104,7 @@ def test_best_match_in_blocks(spark):
     r = np.random.default_rng(5)
     v = r.standard_normal((60, 5))
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<double>")
-    got = {x.query_id: x.match_id for x in sm.best_match(df.where("id < 20"), df, vec_id="id", vector="v", threshold=-1, block=7).collect()}
+    got = {x.query_id: x.match_id for x in sm.best_match(df.where("id < 20"), df, vec_id="id", vector="v", threshold=-1, block_bytes=200).collect()}
     m = v / np.linalg.norm(v, axis=1, keepdims=True)
     s = m @ m.T
     np.fill_diagonal(s, -2)
