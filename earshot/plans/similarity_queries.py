@@ -72,11 +72,11 @@ def cl7(spark, folder):
 
 @REGISTRY.add("CL8_embedding_extraction", """WITH w AS (SELECT doc_id, n_row, ('0x' || left(md5(unnest(regexp_extract_all(lower(text), '[a-z0-9]+'))), 8))::BIGINT AS h FROM (SELECT doc_id, text, row_number() OVER () AS n_row FROM documents)),
 x AS (SELECT n_row, doc_id, h % 64 AS i, sum(CASE WHEN (h >> 16) & 1 = 1 THEN 1 ELSE -1 END) AS x FROM w GROUP BY ALL), n AS (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY n_row)) AS norm FROM x), v AS (SELECT n_row, doc_id, sum(CASE WHEN norm = 0 THEN 0 ELSE (x / norm)::FLOAT::DOUBLE * (i + 1) END) AS placed FROM n GROUP BY ALL)
-SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN round(coalesce(placed, 0), 3) END AS placed FROM documents d LEFT JOIN v USING (doc_id)""")
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN round(coalesce(placed, 0), 3) + 0.0 END AS placed FROM documents d LEFT JOIN v USING (doc_id)""")
 def cl8(spark, folder):
     """Vectors of whole texts by a model run over batches, by the sum of their values times their places."""
     v = sm.vectors(table(spark, folder, "documents"), keep=["doc_id"], payload="text", model=sm.hashed_words(), width=64)
-    return v.select("doc_id", F.round(ar.placed(F.col("vector")), 3).alias("placed"))
+    return v.select("doc_id", (F.round(ar.placed(F.col("vector")), 3) + 0.0).alias("placed"))
 
 
 @REGISTRY.add("TK7_closest_to_centroid", """WITH x AS (SELECT label, vec_id, unnest(embedding) AS x, unnest(range(64)) AS i FROM embeddings), c AS (SELECT label, i, avg(x::DOUBLE) AS m FROM x GROUP BY label, i), d AS (SELECT x.label, x.vec_id, round(sqrt(sum((x.x - c.m) * (x.x - c.m))), 6) AS d FROM x JOIN c USING (label, i) GROUP BY 1, 2)

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import uuid
+import warnings
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from earshot.config import resolved_path, section, with_environment
 from earshot.functions import arrays as ar
 from earshot.functions.scalars import finite, spoken_text
 from earshot.functions.similar_text import jaro_winkler
 from earshot.functions.snr import STATISTIC, snr
 from earshot.operators import ordered as od, scores as sc, splitting as sp
-from earshot.plans.aggregate_queries import R, records
+from earshot.plans.aggregate_queries import P, R, predictions, records
 from earshot.plans.filter_queries import TEXTS_SQL, draw_sql
 from earshot.plans.registry import Registry
 from earshot.plans.score_queries import HOURS, S, grid_sql, r6, stream
 from earshot.session import cut, workspace
 from earshot.sources import audio, store
+from earshot.sources.reports import markdown
 from earshot.sources.tables import table
 from earshot.streaming import folds as st
 
@@ -476,3 +480,49 @@ def phonetic(spark, folder):
     texts = records(spark, folder).groupBy(spoken_text(F.col("path")).alias("text")).agg(F.count(F.lit(1)).alias("n_files"))
     scored = texts.withColumn("score", F.bround(jaro_winkler(F.col("text"), F.lit("hey tessera")), 4))
     return scored.select("text", "n_files", "score", risk(F.col("score")).alias("risk")).orderBy(F.desc("score"), "text")
+
+
+# ---- reports and settings
+
+@REGISTRY.add("SC17_markdown_report", f"""WITH {P}, t AS (SELECT replace(f.file_path, '|', '\\|') AS path, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, f.file_path) AS i FROM p WHERE f.file_path IS NOT NULL GROUP BY f.file_path)
+SELECT 0::BIGINT AS line, '## False predictions by file' AS text UNION ALL SELECT 1, '' UNION ALL SELECT 2, '| file_path | n |' UNION ALL SELECT 3, '|-|-|' UNION ALL SELECT i + 3, '| ' || path || ' | ' || n || ' |' FROM t WHERE i <= 50 UNION ALL SELECT 4 + least(50, (SELECT count(*) FROM t)), ''""")
+def sc17(spark, folder):
+    """The 50 files with the most false predictions as lines of a Markdown report."""
+    counted = predictions(spark, folder).where("file_path IS NOT NULL").groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    lines = markdown(counted.orderBy(F.desc("n"), "file_path").limit(50), "False predictions by file").split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "line bigint, text string")
+
+
+def _settings(spark: SparkSession, folder: str) -> list:
+    """Some rows to make settings documents of: a region each."""
+    return table(spark, folder, "region").select("r_regionkey", "r_name").orderBy("r_regionkey").limit(1000).collect()
+
+
+@REGISTRY.add("PF14_known_settings", "SELECT r_regionkey AS key, r_name AS name, 7 AS steps FROM region")
+def pf14(spark, folder):
+    """Of a section only the fields that its class has; others are named in a warning."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        made = [section(_Place, {"key": r["r_regionkey"], "name": r["r_name"], "unknown": 1}) for r in _settings(spark, folder)]
+    return spark.createDataFrame([(p.key, p.name, p.steps) for p in made], "key bigint, name string, steps int")
+
+
+@dataclass
+class _Place:
+    key: int
+    name: str
+    steps: int = 7
+
+
+@REGISTRY.add("SF23_environment_values", "SELECT r_name AS name, '/data/' || r_name || '/x' AS set, 'none/' || r_name AS other, '${LOST}' AS lost FROM region")
+def sf23(spark, folder):
+    document = {r["r_name"]: ["${ROOT}/" + r["r_name"] + "/x", "${LOST:-none}/" + r["r_name"], "${LOST}"] for r in _settings(spark, folder)}
+    filled = with_environment(document, {"ROOT": "/data"})
+    return spark.createDataFrame([(k, *v) for k, v in filled.items()], "name string, set string, other string, lost string")
+
+
+@REGISTRY.add("SF35_path_rules", "SELECT r_name AS name, '/work/' || r_name AS here, '/etc/' || r_name || '.yaml' AS above, '/work/config/' || r_name || '.yaml' AS bare, r_name AS plain FROM region")
+def sf35(spark, folder):
+    at = lambda v: resolved_path(v, "/etc/app/a.yaml", "/work")
+    made = [(n, at(f"./{n}"), at(f"../{n}.yaml"), at(f"config/{n}.yaml"), at(n)) for n in (r["r_name"] for r in _settings(spark, folder))]
+    return spark.createDataFrame(made, "name string, here string, above string, bare string, plain string")
