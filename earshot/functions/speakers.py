@@ -10,14 +10,15 @@ PLAIN_SPEAKER = r"^spk_[0-9]{9}$"
 _SPEAKER = r"^\s*(?:spk|speaker)?[\s_.:#-]*([0-9o]*[0-9][0-9o]*)(?:\.0+)?\s*$"
 
 
-def _numbered(text: Column, pattern: str) -> Column:
+def numbered(text: Column, pattern: str) -> Column:
+    """The plain form of the speaker whose number the pattern finds, or null."""
     digits = F.regexp_replace(F.translate(F.regexp_extract(text, pattern, 1), "o", "0"), "^0+(?=.)", "")
     return F.when(digits == "", None).otherwise(F.concat(F.lit("spk_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(9)), F.lit("0"))))
 
 
 def speaker(c: Column) -> Column:
     """`spk_` and nine digits for any spelling of a speaker id; null for null, stand-ins and whatever names no number."""
-    return F.when(c.rlike(PLAIN_SPEAKER), c).otherwise(_numbered(plain(c), _SPEAKER))
+    return F.when(c.rlike(PLAIN_SPEAKER), c).otherwise(numbered(plain(c), _SPEAKER))
 
 
 def split_name(c: Column) -> Column:
@@ -41,4 +42,4 @@ def clip_path(c: Column) -> Column:
 
 def folder_speaker(path: Column) -> Column:
     """The speaker that a folder of a `clip_path` names, or null."""
-    return F.when(F.instr(path, "/sp") > 0, _numbered(path, r"/(?:spk|speaker)[_ .-]?([0-9o]*[0-9][0-9o]*)/"))
+    return F.when(F.instr(path, "/sp") > 0, numbered(path, r"/(?:spk|speaker)[_ .-]?([0-9o]*[0-9][0-9o]*)/"))
