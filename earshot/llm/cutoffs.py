@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from earshot.functions.text import named
+from earshot.llm.names import named
 from earshot.session import cut
 
 

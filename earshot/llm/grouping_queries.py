@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
+from earshot.functions.speakers import speaker, split_name
 from earshot.llm.grouping import assign_splits, crossing_groups, resolved_speaker, with_component
+from earshot.llm.paths import clip_path, folder_speaker
 from earshot.llm.sql_forms import folder_sql, id_sql, path_sql, split_sql
 from earshot.plans.registry import Registry
 from earshot.session import cut

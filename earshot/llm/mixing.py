@@ -8,8 +8,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from earshot.functions.text import named
 from earshot.llm.cutoffs import bounded
+from earshot.llm.names import named
 from earshot.session import cut
 from earshot.worker import kept
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from earshot.functions.speakers import clip_path, split_name
+from earshot.functions.speakers import split_name
+from earshot.llm.paths import clip_path
 from earshot.llm.sql_forms import folder_sql, id_sql, path_sql, split_sql
 from earshot.llm.takes import overlapping_takes, take_classes
 from earshot.plans.registry import Registry

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
-from earshot.functions.text import one_slip
+from earshot.functions.speakers import speaker, split_name
+from earshot.llm.names import one_slip
+from earshot.llm.paths import clip_path, folder_speaker
 from earshot.session import cut
 
 # The parts of a clip's file name in its layouts. A session code has eight letters or digits; one may be mistyped, left out or put in.
