@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from earshot.functions import arrays as ar, scalars as sf
 from earshot.functions.similar_text import jaro_winkler_py
 from earshot.functions.snr import snr
-from earshot.functions.speakers import clip_path, folder_speaker, speaker, split_name
-from earshot.functions.text import named, plain, plain_py
+from earshot.functions.speakers import speaker, split_name
+from earshot.functions.text import plain, plain_py
 
 
 def apply(spark, values, f, kind="string"):
@@ -31,21 +31,6 @@ def test_splits(spark):
     assert apply(spark, [" train", "TRAIN", "train\n", "val", " val", "VAL", "Validation", "test\n", "?", "", None, "unassigned"], split_name) == ["train"] * 3 + ["validation"] * 4 + ["test"] + [None] * 4
 
 
-def test_paths(spark):
-    same = ["/mnt/ww/a_b/c/x_t001.wav", "//mnt/ww/a_b/c/x_t001.wav", "./mnt/ww/a_b/c/x_t001.wav", "/mnt/ww/a_b/./c/x_t001.wav ", "D:\\mnt\\ww\\a_b\\c\\x_t001.wav", "file:///mnt/ww/a_b/c/x_t001.wav", "/mnt/ww/a%5Fb/c/x%5Ft001.wav", "/mnt/ww/a_b/q/../c/x_t001.wav", "\u200b/mnt/ww/а_b/c/X_T００1.wav"]
-    assert apply(spark, same, clip_path) == [same[0]] * len(same)
-    assert apply(spark, ["/a/100%/b.wav", "/a+b/c.wav", None], clip_path) == ["/a/100%/b.wav", "/a+b/c.wav", None]
-    assert apply(spark, ["/a/spk_000000770/x.wav", "/a/speaker_38/x.wav", "/a/special/x.wav"], folder_speaker) == ["spk_000000770", "spk_000000038", None]
-
-
-def test_named(spark):
-    names = ["kitchen_far", "porch_evening", "glossary"]
-    forms = ["kitchen far", "KITCHEN_FAR", "KitchenFar", "/data/x/kitchen_far", "kitchen-far", "kitchen_far/", " kitchen_far ", "kithen_far", "kitcehn_far", "porh_evening", "Glossary\n"]
-    assert apply(spark, forms, lambda c: named(c, names)) == ["kitchen_far"] * 9 + ["porch_evening", "glossary"]
-    assert apply(spark, ["", None, "far", "kitchen_near", "evening"], lambda c: named(c, names)) == [None] * 5
-    assert apply(spark, ["kithen_far"], lambda c: named(c, names, slips=False)) == [None]
-
-
 @settings(max_examples=60, deadline=None)
 @given(hs.text(max_size=30))
 def test_plain_py_is_stable(s):
