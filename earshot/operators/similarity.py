@@ -310,14 +310,157 @@ def two_stage_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: f
     return cluster_blocks(coarse_cells(df, vec_id=vec_id, vector=vector, k=max(10, n // per_cell)), vec_id="id", vector="v", block="cell", similarity=similarity)
 
 
-def adaptive_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: float, whole: int = 5000, per_cell: int = 1000) -> DataFrame:
-    """(block, id, cluster): up to `whole` rows are clustered whole by complete linkage, as one block 0, and more by `two_stage_clusters`."""
+def adaptive_clusters(df: DataFrame, *, vec_id: str, vector: str, similarity: float, whole: int = 5000, density: int = 50_000, per_cell: int = 1000) -> DataFrame:
+    """(block, id, cluster): up to `whole` rows are clustered whole by complete linkage, as one block 0, up to `density` by `density_clusters`, and more by `two_stage_clusters`."""
     n = df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull()).count()
     if n <= whole:
         return cluster_blocks(df.withColumn("_block", F.lit(0)), vec_id=vec_id, vector=vector, block="_block", similarity=similarity)
+    if n <= density:
+        return density_clusters(df, vec_id=vec_id, vector=vector, whole=density)
     return two_stage_clusters(df, vec_id=vec_id, vector=vector, similarity=similarity, per_cell=per_cell)
 
 
+def _core_distances(m: np.ndarray, weight: np.ndarray, neighbours: int) -> np.ndarray:
+    """Of unit rows the distance within which lie `neighbours` other rows, equal ones counted by weight; infinite where there are fewer."""
+    out = np.zeros(len(m))
+    for at in range(0, len(m), 256):
+        d = np.sqrt(np.maximum(0, 2 - 2 * m[at : at + 256] @ m.T))
+        own = np.arange(len(d))
+        d[own, at + own] = 0
+        order = np.argpartition(d, min(neighbours, d.shape[1] - 1), axis=1)[:, : neighbours + 1]
+        near = np.take_along_axis(d, order, 1)
+        by = np.argsort(near, axis=1, kind="stable")
+        count = np.cumsum(np.take_along_axis(weight[order], by, 1), axis=1) - 1  # without the row itself
+        enough = count >= neighbours
+        out[at : at + 256] = np.where(enough.any(1), np.take_along_axis(np.take_along_axis(near, by, 1), enough.argmax(1)[:, None], 1)[:, 0], np.inf)
+    return out
+
+
+def _spanning_tree(m: np.ndarray, core: np.ndarray) -> list[tuple[float, int, int]]:
+    """The edges of a least spanning tree by mutual reachability, the greatest of two rows' distance and their core distances, sorted. Memory is in proportion to the rows, time to their square."""
+    n = len(m)
+    least, by, out = np.full(n, np.inf), np.zeros(n, np.int64), []
+    waiting = np.ones(n, bool)
+    at = 0
+    for _ in range(n - 1):
+        waiting[at] = False
+        d = np.maximum(np.sqrt(np.maximum(0, 2 - 2 * m @ m[at])), np.maximum(core, core[at]))
+        closer = waiting & ((d < least) | (by == at))
+        closer |= waiting & ~np.isfinite(least)
+        least[closer], by[closer] = d[closer], at
+        at = int(np.where(waiting, least, np.inf).argmin()) if np.isfinite(least[waiting]).any() else int(np.flatnonzero(waiting)[0])
+        out.append((float(least[at]), int(by[at]), at))
+    return sorted(out)
+
+
+def _density_labels(m: np.ndarray, weight: np.ndarray, min_cluster: int, min_samples: int) -> np.ndarray:
+    """For unit rows of some weight the number of their cluster, or -1 for noise: the clusters of most stability in the tree of densities (HDBSCAN).
+
+    A row of weight w stands for w equal rows, which are joined at their core distance. The whole is no cluster of its own."""
+    n = len(m)
+    core = _core_distances(m, weight, min_samples)
+    density = lambda d: 1 / max(d, 1e-9)
+    # The tree of merges: node n + i joins two nodes at the i-th shortest edge.
+    size, top, joined = [*map(int, weight)], list(range(n)), []
+
+    def root(i: int) -> int:
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
+        return i
+
+    for d, a, b in _spanning_tree(m, core):
+        a, b = root(a), root(b)
+        top[a] = top[b] = len(top)
+        top.append(len(top))
+        joined.append((a, b, d))
+        size.append(size[a] + size[b])
+    # From the top: a split into two parts of `min_cluster` makes two clusters; smaller parts leave theirs.
+    birth, parent, stability, of = [0.0], [-1], [0.0], np.zeros(n, np.int64)
+
+    def leave(node: int, cluster: int) -> None:
+        todo = [node]
+        while todo:
+            x = todo.pop()
+            if x < n:
+                of[x] = cluster
+            else:
+                todo += joined[x - n][:2]
+
+    stack = [(len(top) - 1, 0)]
+    while stack:
+        node, c = stack.pop()
+        if node < n:
+            stability[c] += size[node] * (density(core[node]) - birth[c])
+            of[node] = c
+            continue
+        d = joined[node - n][2]
+        parts, todo = [], list(joined[node - n][:2])
+        while todo:  # what is joined at one distance falls apart at once
+            x = todo.pop()
+            if x >= n and joined[x - n][2] == d:
+                todo += joined[x - n][:2]
+            else:
+                parts.append(x)
+        large = [x for x in parts if size[x] >= min_cluster]
+        for x in parts:
+            if len(large) != 1 or x != large[0]:
+                stability[c] += size[x] * (density(d) - birth[c])
+            if x not in large:
+                leave(x, c)
+        if len(large) == 1:
+            stack.append((large[0], c))
+            continue
+        for x in large:
+            birth.append(density(d))
+            parent.append(c)
+            stability.append(0.0)
+            stack.append((x, len(birth) - 1))
+    best, chosen, below = list(stability), [False] * len(birth), [0.0] * len(birth)
+    for c in range(len(birth) - 1, 0, -1):
+        chosen[c] = stability[c] >= below[c]
+        best[c] = max(stability[c], below[c])
+        below[parent[c]] += best[c]
+    label = [-1] * len(birth)
+    for c in range(1, len(birth)):
+        label[c] = label[parent[c]] if label[parent[c]] >= 0 else c if chosen[c] else -1
+    return np.array([label[c] for c in of])
+
+
+def density_blocks(df: DataFrame, *, vec_id: str, vector: str, block: str, min_cluster: int = 5, min_samples: int = 3) -> DataFrame:
+    """(block, id, cluster): clusters by density (HDBSCAN) of unit vectors within each block, named by their least id; a row of no cluster is one of its own.
+
+    Equal vectors of a block are one row with a weight, however many there are. A block's different vectors go to one task, whose memory grows with their number and whose time with its square.
+    Null ids and vectors take no part."""
+    kind = df.schema[block].dataType.simpleString()
+    rows = df.select(F.col(block).alias("block"), F.col(vec_id).cast("bigint").alias("id"), F.col(vector).alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull())
+    hashed = rows.withColumn("h", F.sha2(F.to_json(F.struct("block", "v")), 256))
+    reps = hashed.groupBy("h").agg(F.min_by(F.struct("block", "id", "v"), "id").alias("r"), F.count(F.lit(1)).alias("n")).select("r.*", "h", "n")
+
+    def run(pdf):
+        import pandas as pd
+
+        pdf = pdf.sort_values("id")
+        m = np.array(pdf["v"].tolist(), np.float64)
+        norm = np.linalg.norm(m, axis=1, keepdims=True)
+        ids = pdf["id"].to_numpy()
+        label = _density_labels(m / np.where(norm == 0, 1, norm), pdf["n"].to_numpy(), min_cluster, min_samples)
+        first = {c: ids[i] for i, c in reversed(list(enumerate(label)))}
+        return pd.DataFrame({"h": pdf["h"].to_numpy(), "cluster": [None if c < 0 else first[c] for c in label]}).astype({"cluster": "Int64"})
+
+    found = reps.groupBy("block").applyInPandas(run, "h string, cluster bigint")
+    return hashed.join(found, "h").select(F.col("block").cast(kind).alias("block"), "id", F.coalesce("cluster", "id").alias("cluster"))
+
+
+def density_clusters(df: DataFrame, *, vec_id: str, vector: str, min_cluster: int = 5, min_samples: int = 3, whole: int = 50_000, per_cell: int = 10_000) -> DataFrame:
+    """(block, id, cluster): `density_blocks` over up to `whole` rows as one block 0, and within k-means cells of `per_cell` rows in the mean over more."""
+    known = df.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull())
+    n = known.count()
+    if n <= whole:
+        return density_blocks(known.withColumn("_block", F.lit(0)), vec_id=vec_id, vector=vector, block="_block", min_cluster=min_cluster, min_samples=min_samples)
+    return density_blocks(coarse_cells(known, vec_id=vec_id, vector=vector, k=-(-n // per_cell)), vec_id="id", vector="v", block="cell", min_cluster=min_cluster, min_samples=min_samples)
+
+
 def farthest_points(df: DataFrame, *, vec_id: str, vector: str, group: str, k: int) -> DataFrame:
     """(group, id, rank): k rows per group, the first by id and then each the one farthest from all chosen; ties by the least id.
 

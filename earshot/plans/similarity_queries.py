@@ -47,6 +47,11 @@ def cl1(spark, folder):
     return sm.cluster_blocks(table(spark, folder, "embeddings").withColumn("cell", F.lit(0)), block="cell", k=4, **_K)
 
 
+@REGISTRY.add("CL2_density_clusters")
+def cl2(spark, folder):
+    return sm.density_clusters(table(spark, folder, "embeddings"), **_K).select("id", "cluster")
+
+
 @REGISTRY.add("CL3_adaptive_selection")
 def cl3(spark, folder):
     return sm.adaptive_clusters(table(spark, folder, "embeddings"), similarity=0.3, **_K)

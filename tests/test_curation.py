@@ -131,7 +131,7 @@ def test_up_to_5000_rows_are_clustered_whole(spark):
     whole = {y.id: y.cluster for y in sm.cluster_blocks(df.withColumn("b", F.lit(0)), block="b", **kw).collect()}
     got = {y.id: y.cluster for y in sm.adaptive_clusters(df, **kw).collect()}
     assert got == whole and len(got) == 600
-    cells = sm.adaptive_clusters(df, whole=599, per_cell=20, **kw)
+    cells = sm.adaptive_clusters(df, whole=599, density=599, per_cell=20, **kw)
     assert cells.select("block").distinct().count() == 30
 
 
@@ -235,3 +235,71 @@ def test_feature_store(spark, tmp_path):
     assert s.read().count() == 4 and rows(s.get([2, 2], "train").select("row_id", "pos")) == [(2, 0), (2, 1)]
     with pytest.raises(Exception, match="multiple"):
         s.add(df.withColumn("features", F.array(F.lit(1.0).cast("float"))), "train")
+
+
+def plain_density(m, min_cluster, min_samples):
+    """HDBSCAN by its definition over all pairs: clusters are components of the graph of core points at every distance, followed from the largest down."""
+    n = len(m)
+    d = np.sqrt(np.maximum(0, 2 - 2 * m @ m.T))
+    np.fill_diagonal(d, 0)
+    core = np.sort(d, axis=1)[:, min_samples]
+    reach = np.maximum(d, np.maximum(core[:, None], core[None, :]))
+    np.fill_diagonal(reach, core)
+
+    def parts(points, at):
+        """Components of what is joined below the distance, single points that are no core being left out."""
+        left, out = set(points), []
+        while left:
+            seen, todo = set(), [left.pop()]
+            while todo:
+                x = todo.pop()
+                seen.add(x)
+                near = {y for y in left if reach[x, y] < at}
+                left -= near
+                todo += near
+            out.append(seen)
+        return out
+
+    def walk(points, birth):
+        """(stability, clusters) of the best choice within a cluster that begins at a density."""
+        own, inside = 0.0, set(points)
+        for at in sorted({x for x in reach[np.ix_(points, points)].ravel() if x > 0}, reverse=True):
+            some = [p for p in parts(inside, at) if len(p) >= min_cluster]
+            if len(some) == 1:
+                own += (len(inside) - len(some[0])) * (1 / at - birth)
+                inside = some[0]
+                continue
+            own += len(inside) * (1 / at - birth)
+            if not some:
+                return own, [set(points)]
+            below = [walk(sorted(p), 1 / at) for p in some]
+            total = sum(s for s, _ in below)
+            return (own, [set(points)]) if own >= total else (total, [c for _, x in below for c in x])
+        return own, [set(points)]
+
+    found = walk(list(range(n)), 0.0)[1]
+    return {frozenset(c) for c in found if len(c) < n}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_density_clusters_by_definition(seed):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(4, 8))
+    m = np.concatenate([*(c + 0.15 * (k + 1) * r.normal(size=(9, 8)) for k, c in enumerate(centres)), 3 * r.normal(size=(8, 8))])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    label = sm._density_labels(m, np.ones(len(m), int), 5, 3)
+    got = {frozenset(np.flatnonzero(label == c)) for c in set(label) if c >= 0}
+    assert got == plain_density(m, 5, 3) and got
+    assert sm._spanning_tree(m, np.zeros(len(m)))[0][0] > 0
+
+
+def test_density_clusters_of_tables(spark):
+    r = np.random.default_rng(1)
+    near = [[float(x) for x in c + 0.05 * r.normal(size=6)] for c in np.eye(6)[:2] for _ in range(12)]
+    data = [(i, v) for i, v in enumerate(near)] + [(100 + i, [0.0, 0.0, 1.0, 0.0, 0.0, 0.0]) for i in range(7)] + [(200, [0.0, 0.0, 0.0, 1.0, -1.0, 0.0]), (None, near[0]), (201, None)]
+    df = spark.createDataFrame(data, "id bigint, v array<double>")
+    got = {x.id: x.cluster for x in sm.density_clusters(df, vec_id="id", vector="v").collect()}
+    assert got == {**{i: 0 for i in range(12)}, **{i: 12 for i in range(12, 24)}, **{100 + i: 100 for i in range(7)}, 200: 200}
+    assert sm.density_clusters(df.limit(0), vec_id="id", vector="v").count() == 0
+    assert sm.density_clusters(df.where("id = 200"), vec_id="id", vector="v").count() == 1
+    assert sm.adaptive_clusters(df, vec_id="id", vector="v", similarity=0.5, whole=5).count() == 32
