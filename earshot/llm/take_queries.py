@@ -99,6 +99,5 @@ def coverage(spark: SparkSession, folder: str) -> DataFrame:
 @REGISTRY.add("p1_class_links")
 def class_links(spark: SparkSession, folder: str) -> DataFrame:
     """The pairs without copies: links between classes of rows that are alike, with the rows in each."""
-    members, links = take_classes(_records(spark, folder))
-    sizes = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("n"))
+    _, sizes, links = take_classes(_records(spark, folder))
     return links.join(sizes.select(F.col("class_id").alias("class_train"), F.col("n").alias("n_train")), "class_train").join(sizes.select(F.col("class_id").alias("class_eval"), F.col("n").alias("n_eval")), "class_eval")

@@ -265,15 +265,16 @@ def overlapping_takes(records: DataFrame, *, in_use: float = 0.125) -> DataFrame
     return _met(rows, pairs).select("row_id_train", F.col("row_id").alias("row_id_eval"), "split", "coverage")
 
 
-def take_classes(records: DataFrame, *, in_use: float = 0.125) -> tuple[DataFrame, DataFrame]:
-    """(members: row_id, class_id; links: class_train, class_eval, coverage): `overlapping_takes` without expanding copies.
+def take_classes(records: DataFrame, *, in_use: float = 0.125) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: row_id, class_id; sizes: class_id, n; links: class_train, class_eval, coverage): `overlapping_takes` without expanding copies.
 
-    Rows of one session, take, speaker, phrase and split are alike to the operator and make a class, named by its least row; of each pair of classes one link is given. Every row that has a
-    session and a split is a member of one class, and of a second if its phrase may end in a mistyped code."""
+    Rows of one session, take, speaker, phrase and split are alike to the operator and make a class, named by the kind of session (c by code, u without, p by what may be a mistyped code) and its
+    least row; of each pair of classes one link is given. Every row that has a session and a split is a member of one class, and of a second if its phrase may end in a mistyped code."""
     rows, pairs = _takes_and_pairs(records, in_use)
     alike = ["split", "speaker", "key", "take", "phrase"]
-    classes = cut(rows.groupBy(*alike).agg(F.min("row_id").alias("row_id")), "classes")
-    links = _met(classes, pairs).select(F.col("row_id_train").alias("class_train"), F.col("row_id").alias("class_eval"), "coverage")
+    classes = cut(rows.groupBy(*alike).agg(F.min("row_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
+    classes = classes.withColumn("row_id", F.concat(F.left("key", F.lit(1)), F.col("least").cast("string"))).drop("least")
+    links = _met(classes.drop("n"), pairs).select(F.col("row_id_train").alias("class_train"), F.col("row_id").alias("class_eval"), "coverage")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in alike]
     members = rows.alias("r").join(classes.alias("c"), same).select("r.row_id", F.col("c.row_id").alias("class_id"))
-    return members, links
+    return members, classes.select(F.col("row_id").alias("class_id"), "n"), links

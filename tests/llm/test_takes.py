@@ -122,12 +122,13 @@ def test_shards_are_bounded():
 
 def test_classes_are_the_pairs_without_copies(spark):
     rows = frame(spark, CASES).unionByName(frame(spark, CASES)).unionByName(frame(spark, CASES).selectExpr("row_id + 100 AS row_id", "path", "split", "speaker_id"))
-    members, links = take_classes(rows)
+    members, sizes, links = take_classes(rows)
     of = {}
     for r in members.collect():
         of.setdefault(r.class_id, []).append(r.row_id)
     pairs = sorted((a, b) for x in links.collect() for a in of[x.class_train] for b in of[x.class_eval])
     assert pairs == sorted((r.row_id_train, r.row_id_eval) for r in overlapping_takes(rows).collect()) and len(pairs) == 4 * 9 and links.count() == 4
+    assert {r.class_id: r.n for r in sizes.collect()} == {k: len(v) for k, v in of.items()}
 
 
 def test_parsed(spark):
