@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from earshot.functions.text import plain_table
 from earshot.llm.toxicity import _WORD, BOUND, Chains, Model, Tagger, features, tidy
+from earshot.llm.toxicity_words import EXPLICIT
 from earshot.session import cut
 
 START = (-2.0, -2.0, -1.0, 0.5)  # moves and bias before learning
@@ -99,10 +100,12 @@ def train(docs: list[tuple[str, int, int]], table: dict, *, error: float = 0.04,
     some = often[pair] >= 2
     paired, pair = np.flatnonzero(joined)[some] + 1, pair[some]  # a pair counts for its second word
 
+    is_listed = np.array([w.listed for w in words])[ids] & inside
     own_of = np.array([vocabulary.get("w=" + r, -1) for r in readings])
     params = [np.zeros(n_features), np.zeros(n_readings), np.zeros(n_readings), np.zeros(len(keys)), np.array(START), np.array([START_BIAS])]
-    runs = np.array([not f.startswith("w=") and f not in ("hidden", "listed") for f in vocabulary])
-    strength = [np.where(runs, letters_decay, decay), decay, decay, decay, 0.01, 0.01]
+    runs = np.array([not f.startswith("w=") for f in vocabulary])
+    few = np.array([f == "listed" for f in vocabulary])  # a weight that many words share: little is needed to learn it
+    strength = [np.where(few, 0.1, np.where(runs, letters_decay, decay)), decay, decay, decay, 0.01, 0.01]
     prior = [0.0, 0.0, 0.0, 0.0, np.array(START), np.array([START_BIAS])]
     unexplained = y
     for step in range(rounds * steps):
@@ -117,6 +120,11 @@ def train(docs: list[tuple[str, int, int]], table: dict, *, error: float = 0.04,
                 else:
                     some_words = own_of >= 0
                     params[k][own_of[some_words]] = np.maximum(params[k][own_of[some_words]], new[some_words])
+            if "listed" in vocabulary:
+                held = np.unique(doc[chain_of[is_listed]])
+                one, zero = unexplained[held].sum(), (~y[held]).sum()
+                weight_ = _log_odds(np.array([one]), np.array([zero]), int(unexplained.sum()), n_clean)[0]
+                params[0][vocabulary["listed"]] = max(params[0][vocabulary["listed"]], min(4.0, weight_) if one >= least and weight_ > above else 0.0)
             m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         u = np.bincount(rows, params[0][cols], n_types)[ids] + params[5][0]
         u[1:] += np.where(inside[:-1], params[1][word[:-1]], 0.0)
@@ -181,7 +189,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, *, doc_id: str, tex
     return [(r["_t"], r["_a"], r["_b"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_t"]))], label_error(counted)
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most_toxic: int = 3000, most_clean: int = 7000, most_chars: int = 64_000_000, listed: frozenset[str] = frozenset()) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", most_toxic: int = 3000, most_clean: int = 7000, most_chars: int = 64_000_000, listed: frozenset[str] = EXPLICIT) -> Model:
     """The field fitted to a bounded sample of labelled documents. Without labels of both kinds it calls nothing toxic."""
     docs, error = labelled_sample(documents, labels, doc_id=doc_id, text=text, label=label, most_toxic=most_toxic, most_clean=most_clean, most_chars=most_chars)
     return train(docs, plain_table(), error=error, listed=listed)
