@@ -137,7 +137,7 @@ class Model:
     move: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
     known: frozenset[str] = frozenset()
     listed: frozenset[str] = frozenset()
-    threshold: float = 0.3
+    threshold: float = 0.4
 
 
 class Tagger:
