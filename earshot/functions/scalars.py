@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from earshot.functions.arrays import let
-
 # The parts of a clip's file name that say nothing about what was spoken, in the order in which they are taken off.
 NAME_NOISE = (
     r"[-_]v?\d+$",
@@ -35,18 +33,10 @@ def parent(path: Column) -> Column:
 def spoken_text(path: Column) -> Column:
     """What a file's name says was spoken: lower case words; `unknown` if nothing is left."""
     s = stem(path)
-    version, kind, stamp, day, code, index = NAME_NOISE
-    taken = lambda s, pattern, may: F.when(may, F.regexp_replace(s, pattern, "")).otherwise(s)
-    # Cheap tests first: most names hold little of this, and the fifth pattern looks ahead from each of its places.
-    digit_last = lambda s: F.right(s, F.lit(1)).between("0", "9")
-    s = let(s, lambda s: taken(s, version, digit_last(s)))
-    s = let(s, lambda s: F.regexp_replace(s, "(?i)" + kind, ""))
-    s = let(s, lambda s: taken(s, stamp, s.rlike(r"\d{8}")))
-    s = let(s, lambda s: taken(s, day, digit_last(s)))
-    s = let(s, lambda s: taken(s, code, s.rlike(r"[-_][a-z0-9]{4,6}[-_]") & s.rlike(r"\d")))
-    s = let(s, lambda s: taken(s, index, digit_last(s)))
+    for k, pattern in enumerate(NAME_NOISE):
+        s = F.regexp_replace(s, "(?i)" + pattern if k == 1 else pattern, "")
     words = F.trim(F.regexp_replace(F.lower(F.regexp_replace(s, r"[-_]+", " ")), r"\s+", " "))
-    return F.when(words == "", "unknown").otherwise(words)
+    return F.regexp_replace(words, "^$", "unknown")  # names the chain once, so that it is worked out once
 
 
 def snake_case(c: Column) -> Column:
