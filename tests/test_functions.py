@@ -43,7 +43,7 @@ def test_plain_agrees(spark):
 
 
 def test_scalars(spark):
-    assert apply(spark, ["hey_katia_sample_003.wav", "okay-google-v2.wav", "cat_meow_recording.wav", "hey_cut_hair_20260128_215718.wav", "_1.wav"], sf.spoken_text) == ["hey katia", "okay google", "cat meow", "hey cut hair", "unknown"]
+    assert apply(spark, ["hey_tessera_clip_12.wav", "call-home-v3.flac", "kettle_whistle_noise.wav", "open_gate_20230401_101530.wav", "lamp_d38z5_off.wav", "_1.wav", None], sf.spoken_text) == ["hey tessera", "call home", "kettle whistle", "open gate", "lamp off", "unknown", None]
     assert apply(spark, [0.5], lambda c: sf.platt(c, 1.0, 0.0), "double") == [0.5]
     assert apply(spark, [0.5], lambda c: sf.platt(c, 1.0, 1.0), "double")[0] > 0.5 > apply(spark, [0.5], lambda c: sf.platt(c, 1.0, -1.0), "double")[0]
     assert apply(spark, [0.0, 1.0, -3.0, 2.0, 0.5], sf.to_uint8, "double") == [0, 255, 0, 255, 128]
